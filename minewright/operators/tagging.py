@@ -108,8 +108,8 @@ def _span_keys(spans: Column) -> Column:
     return F.transform(spans, lambda s: F.concat_ws(",", s["start"].cast("string"), s["end"].cast("string"), s["type"]))
 
 
-def _key_struct(key: Column, kind: str) -> Column:
-    return F.struct(F.split(key, ",", 3)[2].alias("type"), F.lit(kind).alias("kind"))
+def _marked(keys: Column, kind: str) -> Column:
+    return F.transform(keys, lambda k: F.struct(F.split(k, ",", 3)[2].alias("type"), F.lit(kind).alias("kind")))
 
 
 def tag_spans(sentences: DataFrame, tags: str = "tags") -> DataFrame:
@@ -133,7 +133,7 @@ def span_f1(sentences: DataFrame, predicted: str = "pred", gold: str = "tags") -
         "fp": F.array_except("_p", "_g"),
         "fn": F.array_except("_g", "_p"),
     }
-    lists = [F.transform(keys, lambda s, kind=kind: _key_struct(s, kind)) for kind, keys in kinds.items()]
+    lists = [_marked(keys, kind) for kind, keys in kinds.items()]
     marked = both.select(F.inline(F.concat(*lists)))
     counts = marked.groupBy("type").agg(*[F.count(F.when(F.col("kind") == c, 1)).alias(c) for c in ("tp", "fp", "fn")])
     totals = counts.rollup("type").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])

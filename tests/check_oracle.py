@@ -46,7 +46,7 @@ def compare(spark, connection, name, sf_dir):
     if got_columns != wanted_columns:
         return seconds, "DIFF", f"columns {got_columns} != {wanted_columns}"
     if got != wanted:
-        extra, missing = [r for r in got if r not in wanted][:2], [r for r in wanted if r not in got][:2]
+        extra, missing = sorted(set(got) - set(wanted), key=repr)[:2], sorted(set(wanted) - set(got), key=repr)[:2]
         return seconds, "DIFF", f"{len(got)} != {len(wanted)} rows; only here {extra}; only there {missing}"
     return seconds, "ok", f"{len(got)} rows"
 
