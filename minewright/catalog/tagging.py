@@ -238,13 +238,14 @@ def embedding_lookup(spark, sf):
 @query(f"""
 WITH {_TOK}, v AS (SELECT DISTINCT word FROM tok)
 SELECT word, round(list_sum(list_transform(range(0, {DIM}), lambda j:
-    ((('0x' || substr(md5(word || '|' || j || '|{SEED}'), 1, 8))::BIGINT / 4294967296.0) * 2.0 - 1.0) * 0.25)), 4) AS total
+    (((('0x' || substr(md5(word || '|' || j || '|{SEED}'), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE) * 2.0::DOUBLE
+      - 1.0::DOUBLE) * 0.25::DOUBLE)::FLOAT::DOUBLE)), 6) AS total
 FROM v
 """)
 def random_embeddings(spark, sf):
     words = corpus.word_rows(words_only(spark, sf)).select("word").distinct().withColumn("id", F.lit(0))
     total = F.aggregate(F.col("vec").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
-    return corpus.random_embeddings(words, DIM, SEED).select("word", F.round(total, 4).alias("total"))
+    return corpus.random_embeddings(words, DIM, SEED).select("word", F.round(total, 6).alias("total"))
 
 
 # ---- encoding and batches -------------------------------------------------------------------------------------------
