@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from minewright.operators.vectors import knn
-from minewright.plans.lineage import cut_lineage
+from minewright.plans.lineage import cut_lineage, release
 from minewright.plans.spread import ROWS_PER_TASK, spread_join
 
 
@@ -38,7 +38,7 @@ def components(
     Every round takes the smallest label among the neighbours and then the label of that label, so that labels travel
     twice as far each time. Hub nodes and the giant component's label are hot keys of these joins and are salted.
     """
-    labels = cut_lineage(nodes.select("id", F.col("id").alias("component")))
+    labels = previous = cut_lineage(nodes.select("id", F.col("id").alias("component")))
     edges = cut_lineage(edges.select("src", "dst"))
     for _ in range(max_rounds):
         of_source = labels.select(F.col("id").alias("src"), F.col("component").alias("_seen"))
@@ -53,8 +53,10 @@ def components(
         lookup = lowered.select(F.col("id").alias("_via"), F.col("_via").alias("_further"))
         jumped = spread_join(lowered, lookup, "_via", spread_by=["id"], rows_per_task=rows_per_task)
         state = cut_lineage(jumped.select("id", F.least("_via", "_further").alias("component"), "_old"))
-        labels = state.select("id", "component")
+        release(previous)
+        labels, previous = state.select("id", "component"), state
         if state.filter(F.col("component") != F.col("_old")).isEmpty():
+            release(edges)
             return labels
     raise RuntimeError(f"labels still change after {max_rounds} rounds")
 
@@ -108,8 +110,10 @@ def shortest_paths(
             F.min("dist").alias("dist"), F.min(F.when(~F.col("_new"), F.col("dist"))).alias("_before")
         )
         improved = F.col("_before").isNull() | (F.col("dist") < F.col("_before"))
-        best = cut_lineage(merged.select("source", "id", "dist", improved.alias("_fresh")))
+        previous, best = best, cut_lineage(merged.select("source", "id", "dist", improved.alias("_fresh")))
+        release(previous)
         if best.filter("_fresh").isEmpty():
+            release(edges)
             return best.select("source", "id", "dist")
     raise RuntimeError(f"distances still improve after {max_rounds} rounds")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,10 @@ ROWS_PER_TASK = 4_000_000
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a frame, without running it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except ValueError:  # more digits than Python converts
+        return sys.maxsize
 
 
 def fits_broadcast(df: DataFrame) -> bool:
