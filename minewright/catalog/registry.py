@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from minewright.plans.spread import widen
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,3 +28,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores when they come in too few pieces."""
+    return widen(table(spark, sf_dir, "documents"), "doc_id")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.catalog.registry import query, table
+from minewright.catalog.registry import documents, query, table
 from minewright.functions.text import (
     is_ascii_word,
     is_latin_alpha_word,
@@ -37,7 +37,7 @@ def _tag_at(sent, pos, shift=0):
 
 
 def sentences(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(
+    docs = documents(spark, sf).select(
         F.col("doc_id").alias("sent_id"), whitespace_tokens(F.col("text")).alias("words")
     )
     sent = F.col("sent_id")
@@ -225,7 +225,7 @@ def embedding_lookup(spark, sf):
         F.col("embedding").alias("vec"),
     )
     suffix = F.when(F.col("doc_id") % 5 == 0, F.lit("?")).otherwise(F.lit(""))
-    wanted = table(spark, sf, "documents").select(
+    wanted = documents(spark, sf).select(
         F.concat(F.get(cycle, F.pmod(F.col("doc_id") * 3, F.lit(16)).cast("int")), suffix).alias("word")
     )
     vocab = corpus.number_vocab(wanted)
@@ -311,7 +311,7 @@ SELECT b AS batch, count(*) AS n FROM (SELECT (row_number() OVER (ORDER BY doc_i
 GROUP BY b
 """)
 def batch_sizes(spark, sf):
-    batched = corpus.batch_ids(table(spark, sf, "documents").select(F.col("doc_id").alias("sent_id")), BATCH)
+    batched = corpus.batch_ids(documents(spark, sf).select(F.col("doc_id").alias("sent_id")), BATCH)
     return batched.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -320,7 +320,7 @@ SELECT doc_id AS sent_id, (row_number() OVER (ORDER BY md5(doc_id || '|{SEED}'),
 FROM documents
 """)
 def shuffled_batches(spark, sf):
-    ids = table(spark, sf, "documents").select(F.col("doc_id").alias("sent_id"))
+    ids = documents(spark, sf).select(F.col("doc_id").alias("sent_id"))
     return corpus.shuffled_batches(ids, BATCH, SEED).select("sent_id", "batch")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from minewright.catalog.registry import query, table
+from minewright.catalog.registry import documents, query, table
 from minewright.operators import words as ops
 from minewright.sinks import merge_sorted
 
@@ -23,12 +23,12 @@ def _segment():
 
 @query(f"WITH {_WORDS} SELECT word, count(*) AS cnt FROM w GROUP BY word")
 def word_count(spark, sf):
-    return ops.word_count(table(spark, sf, "documents"))
+    return ops.word_count(documents(spark, sf))
 
 
 @query(f"WITH {_WORDS} SELECT word, count(*) AS cnt FROM w GROUP BY word ORDER BY cnt DESC, word LIMIT {TOP}")
 def top_words(spark, sf):
-    return ops.top_words(ops.word_count(table(spark, sf, "documents")), TOP)
+    return ops.top_words(ops.word_count(documents(spark, sf)), TOP)
 
 
 @query(f"""
@@ -39,12 +39,12 @@ FROM (SELECT word, doc_id // {SEGMENT} AS segment, string_agg(doc_id::VARCHAR, '
       FROM d GROUP BY ALL) JOIN n USING (word)
 """)
 def inverted_index(spark, sf):
-    return ops.inverted_index(table(spark, sf, "documents"), _segment())
+    return ops.inverted_index(documents(spark, sf), _segment())
 
 
 @query(f"WITH {_WORDS} SELECT word, count(DISTINCT doc_id) AS n_docs FROM w GROUP BY word")
 def document_frequency(spark, sf):
-    return ops.document_frequency(table(spark, sf, "documents"))
+    return ops.document_frequency(documents(spark, sf))
 
 
 @query(f"""
@@ -55,12 +55,12 @@ SELECT word, doc_id // {SEGMENT} AS segment, n_docs, string_agg(doc_id::VARCHAR,
 FROM d JOIN n USING (word) GROUP BY ALL
 """)
 def top_postings(spark, sf):
-    return ops.top_postings(table(spark, sf, "documents"), _segment(), TOP, dropped_count=16)
+    return ops.top_postings(documents(spark, sf), _segment(), TOP, dropped_count=16)
 
 
 @query(f"SELECT DISTINCT token FROM (SELECT unnest({_SPACED}) AS token FROM documents) WHERE token <> ''")
 def distinct_tokens(spark, sf):
-    return ops.distinct_tokens(table(spark, sf, "documents"))
+    return ops.distinct_tokens(documents(spark, sf))
 
 
 def _emit_ones(doc, contents):
@@ -77,7 +77,7 @@ SELECT token AS key, count(*)::VARCHAR AS value
 FROM (SELECT unnest({_SPACED}) AS token FROM documents) WHERE token <> '' GROUP BY token
 """)
 def map_reduce_wc(spark, sf):
-    return ops.map_reduce(table(spark, sf, "documents"), _emit_ones, _add_up)
+    return ops.map_reduce(documents(spark, sf), _emit_ones, _add_up)
 
 
 @query("""

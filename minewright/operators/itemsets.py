@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minewright.plans.lineage import cut_lineage
-from minewright.plans.spread import spread_join
+from minewright.plans.spread import spread_join, widen
 
 # Candidates that may be broadcast to the basket scan; larger sets are joined by shuffle with hot items salted.
 BROADCAST_CANDIDATES = 500_000
@@ -107,7 +107,7 @@ def frequent_level(baskets: DataFrame, size: int, min_supp: float = 0.8) -> Data
 
 def _levels(baskets: DataFrame, min_supp: float, max_size: int | None = None):
     """Yield ``(size, level)`` for every non-empty level; baskets and levels are written once each."""
-    baskets = cut_lineage(baskets)
+    baskets = widen(cut_lineage(baskets), "txn_id")
     n = baskets.count()
     level = cut_lineage(frequent_items(baskets, min_supp, n))
     n_items = n_level = level.count()

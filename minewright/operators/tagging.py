@@ -237,24 +237,33 @@ def viterbi_decode(scored: DataFrame, transitions: np.ndarray, tags: Sequence[st
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            paths = [names[best_path(np.asarray(s).reshape(-1, len(tags)), transitions)] for s in batch["scores"]]
-            yield pd.DataFrame({"sent_id": batch["sent_id"], "tags": paths})
+            paths = best_paths([np.asarray(s).reshape(-1, len(tags)) for s in batch["scores"]], transitions)
+            yield pd.DataFrame({"sent_id": batch["sent_id"], "tags": [names[path] for path in paths]})
 
     id_type = scored.schema["sent_id"].dataType.simpleString()
     return sentences.mapInPandas(decode, f"sent_id {id_type}, tags array<string>")
 
 
-def best_path(scores: np.ndarray, transitions: np.ndarray) -> np.ndarray:
-    """Highest-scoring state sequence of one sentence; ties go to the lower state."""
-    n = len(scores)
-    came_from = np.zeros(scores.shape, dtype=np.int32)
-    total = scores[0]
-    for i in range(1, n):
-        reached = total[:, None] + transitions
-        came_from[i] = reached.argmax(axis=0)
-        total = reached.max(axis=0) + scores[i]
-    path = np.empty(n, dtype=np.int32)
-    path[-1] = total.argmax()
-    for i in range(n - 1, 0, -1):
-        path[i - 1] = came_from[i, path[i]]
-    return path
+def best_paths(scores: Sequence[np.ndarray], transitions: np.ndarray) -> list[np.ndarray]:
+    """Highest-scoring state sequence of each sentence; ties go to the lower state.
+
+    Sentences advance together, longest first, so that a step is one array operation over those still running.
+    """
+    order = sorted(range(len(scores)), key=lambda s: -len(scores[s]))
+    lengths = np.array([len(scores[s]) for s in order])
+    total = np.array([scores[s][0] for s in order])
+    came_from: list[np.ndarray] = []
+    for i in range(1, lengths[0]):
+        running = int(np.searchsorted(-lengths, -i, side="left"))
+        reached = total[:running, :, None] + transitions
+        came_from.append(reached.argmax(axis=1).astype(np.int16))
+        step = np.array([scores[s][i] for s in order[:running]])
+        total[:running] = reached.max(axis=1) + step
+    paths: list[np.ndarray] = [np.empty(0, dtype=np.int32)] * len(scores)
+    for rank, s in enumerate(order):
+        path = np.empty(lengths[rank], dtype=np.int32)
+        path[-1] = total[rank].argmax()
+        for i in range(lengths[rank] - 1, 0, -1):
+            path[i - 1] = came_from[i - 1][rank, path[i]]
+        paths[s] = path
+    return paths

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Rows of one key that a single task may take before the key is split. The list of split keys holds at most
 # (rows / ROWS_PER_TASK) entries, which is what makes it safe to broadcast.
 ROWS_PER_TASK = 4_000_000
+# Scanned bytes a core below which spreading the rows costs less than idle cores.
+SMALL_SCAN_BYTES = 16 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -30,6 +32,15 @@ def fits_broadcast(df: DataFrame) -> bool:
     return estimated_bytes(df) <= limit
 
 
+def widen(df: DataFrame, key: str) -> DataFrame:
+    """Hash a scan too small to occupy every core over all cores; larger inputs are left as they are split.
+
+    Meant for costly row-wise work (tokenising, decoding) over small files: a file of one row group is one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if estimated_bytes(df) < cores * SMALL_SCAN_BYTES else df
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows and the number of parts each should be split into."""
     return (
