@@ -207,9 +207,7 @@ def min_count_vocab(spark, sf):
 
 
 @query(f"""
-WITH {_TOK}, v AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS id FROM (SELECT DISTINCT word FROM tok)),
-e AS (SELECT DISTINCT n_name AS word FROM nation UNION ALL SELECT 'the' UNION ALL SELECT 'of'),
-lines AS (
+WITH lines AS (
   SELECT {_LIST}[vec_id % 16 + 1] AS tag, vec_id, embedding FROM embeddings),
 last AS (SELECT tag AS word, max_by(embedding, vec_id) AS vec FROM lines GROUP BY tag),
 t AS (SELECT DISTINCT tag AS word FROM (SELECT {_LIST}[(doc_id * 3) % 16 + 1] || CASE WHEN doc_id % 5 = 0 THEN '?' ELSE '' END AS tag FROM documents))

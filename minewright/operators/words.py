@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from minewright.functions.keys import fnv1a
 from minewright.functions.text import letter_runs, whitespace_tokens
+from minewright.plans.lineage import cut_lineage
 from minewright.plans.spread import spread_join
 
 KeyValue = tuple[str, str]
@@ -60,8 +61,11 @@ def document_frequency(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def inverted_index(docs: DataFrame, segment: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(word, segment, n_docs, docs)``: documents of a word as a sorted comma list, total count in every segment."""
-    segments = posting_segments(docs, segment, doc_id, text)
+    """``(word, segment, n_docs, docs)``: documents of a word as a sorted comma list, total count in every segment.
+
+    The segments are written once; the totals and the count of hot words then read two of their columns.
+    """
+    segments = cut_lineage(posting_segments(docs, segment, doc_id, text))
     totals = segments.groupBy("word").agg(F.sum("n_segment").alias("n_docs"))
     joined = spread_join(segments, totals, "word", spread_by=["segment"], rows_per_task=10_000)
     return joined.select(
