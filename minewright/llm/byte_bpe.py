@@ -35,8 +35,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 @lru_cache(maxsize=4)
 def _compiled(pattern: str) -> regex.Pattern:
-    # ``\\s`` stands for Unicode white space here, which has no U+001C to U+001F.
-    return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+    return regex.compile(pattern)
 
 
 def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
