@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from minewright.llm import byte_bpe, substring_dedup
+from pyspark.sql import functions as F
+
+from minewright.llm import (
+    byte_bpe,
+    chat_format,
+    decontamination,
+    host_rules,
+    jaccard_join,
+    language_id,
+    page_text,
+    substring_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -15,6 +26,10 @@ ORACLE: dict[str, str] = {}
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
+_SPLIT = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_WORDS = _SPLIT.format("coalesce(text, '')")
+_LOWER_WORDS = _SPLIT.format(f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')")
+
 
 def _query(sql: str | None = None) -> Callable[[Query], Query]:
     def add(run: Query) -> Query:
@@ -30,16 +45,67 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_query(rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
+p AS (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM d WHERE len(ws) >= 8),
+g AS (SELECT r, i, array_to_string(ws[i:i + 7], ' ') AS h FROM p),
+again AS (SELECT r, h FROM g GROUP BY ALL HAVING count(*) > 1),
+spots AS (SELECT DISTINCT r, unnest(range(i, i + 8)) AS j FROM g SEMI JOIN again USING (r, h)),
+rep AS (SELECT r, count(*) AS n_repeat FROM spots GROUP BY r),
+l AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+dup AS (SELECT r, sum(n - 1) AS n_dup FROM (SELECT r, line, count(*) AS n FROM l
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL) GROUP BY r),
+m AS (SELECT d.r, doc_id, coalesce('+' || source, '-') AS host, len(ws)::BIGINT AS n_words,
+      length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+      length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+      coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat, 0)::BIGINT AS n_repeat_words
+      FROM d LEFT JOIN rep USING (r) LEFT JOIN dup USING (r)),
+f AS (SELECT *, (n_words < 20)::INT AS a, (100 * n_repeat_words > 30 * n_words)::INT AS b,
+      (100 * n_symbols > 10 * word_chars)::INT AS c FROM m),
+h AS (SELECT host, count(*) AS n, sum(a) AS a, sum(b) AS b, sum(c) AS c FROM f GROUP BY host),
+hr AS (SELECT host, n, 'a' AS rule, a AS x FROM h UNION ALL SELECT host, n, 'b', b FROM h UNION ALL SELECT host, n, 'c', c FROM h),
+k AS (SELECT rule, avg(x / n) AS mean, coalesce(var_samp(x / n), 0) AS var FROM hr GROUP BY rule),
+s AS (SELECT rule, mean, CASE WHEN var > 0 THEN least(1e6, greatest(1, mean * (1 - mean) / var - 1)) ELSE 1e6 END AS size FROM k),
+v AS (SELECT host, bool_or((x + mean * size) / (n + size) > 0.5) AS host_failed FROM hr JOIN s USING (rule) GROUP BY host)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (a = 1 OR b = 1) AS base_failed, host_failed,
+       (a = 0 AND b = 0 AND NOT host_failed) AS kept
+FROM f JOIN v USING (host)
+""")
+def op1_host_rules(spark, sf):
+    return host_rules.judge(table(spark, sf, "documents"))
+
+
 @_query()
 def op2_byte_bpe(spark, sf):
     ranks = byte_bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     return byte_bpe.encode_documents(spark, table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+@_query(rf"""
+WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+b AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+d AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+q AS (SELECT DISTINCT item_id, array_to_string(ws[i:i + 4], ' ') AS g
+      FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM b WHERE len(ws) > 0)),
+n AS (SELECT item_id, count(*) AS n_item FROM q GROUP BY item_id),
+s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN q USING (g) GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+FROM s JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_item - 1e-9
+""")
+def op4_decontamination(spark, sf):
+    return decontamination.find_leaks(spark, table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@_query()
+def op6_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    usable = language_id.in_training(F.col("doc_id"), 4, 2)
+    found = language_id.identify(spark, docs, language_id.train(docs, usable))
+    return found.select("doc_id", (~usable).alias("held_out"), "lang_pred", "score")
 
 
-@_query(f"""
+@_query(rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, ws FROM d WHERE len(ws) >= 13),
 g AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS h FROM p),
@@ -55,3 +121,59 @@ FROM d LEFT JOIN k USING (doc_id)
 """)
 def op7_substring_dedup(spark, sf):
     return substring_dedup.dedup_substrings(table(spark, sf, "documents"))
+
+
+_CONTROL = r"\\|<s>|</s>|\[INST\]|\[/INST\]|<<TURN|<</TURN>>|>>"
+_COUNTED = f"len(regexp_extract_all({{}}, '{_CONTROL}'))"
+
+
+@_query(rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, CASE WHEN contains(text, chr(92)) OR contains(text, CASE role WHEN 'user' THEN ' [/INST]'
+      WHEN 'assistant' THEN '</s>' ELSE ' <</TURN>>' END) THEN {_COUNTED.format("text")} ELSE 0 END AS extra FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(text) + extra + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 5
+           ELSE 20 + length(role) + {_COUNTED.format("role")} END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op8_chat_format(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat_format.digest_conversations(spark, turns.union(extra))
+
+
+@_query(r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'),
+                  '<[^>]*>', ' ', 'g') AS t FROM pages),
+u AS (SELECT page_id, url, replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS t
+      FROM a),
+s AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM u)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM s
+""")
+def op9_page_text(spark, sf):
+    return page_text.extract(spark, table(spark, sf, "pages"))
+
+
+@_query(rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {_LOWER_WORDS} AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 3], ' ')) AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+r AS (SELECT doc_id, g, row_number() OVER (PARTITION BY doc_id ORDER BY g) AS k FROM s),
+pre AS (SELECT r.doc_id, g FROM r JOIN n USING (doc_id) WHERE k <= n - ceil(0.85 * n) + 1),
+cand AS (SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM pre a JOIN pre b USING (g) WHERE a.doc_id < b.doc_id),
+o AS (SELECT x, y, count(*) AS o FROM cand JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y AND a.g = b.g GROUP BY x, y),
+e AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 85 * (a.n + b.n - o)),
+ways AS MATERIALIZED (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach AS (SELECT x AS src, x AS dst FROM ways UNION SELECT src, y FROM reach JOIN ways ON dst = x),
+c AS (SELECT src AS doc_id, min(dst) AS component_id FROM reach GROUP BY src)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(component_id, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+""")
+def op10_jaccard_join(spark, sf):
+    return jaccard_join.link_components(spark, table(spark, sf, "documents"))
