@@ -96,8 +96,8 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_
         yield pa.Table.from_batches(kept)
 
 
-def make_blocks(docs: DataFrame, pack: Callable[[pa.Table], bytes], column: str = "text") -> DataFrame:
-    """Documents as blocks, hashed by block: (block, payload of ``pack``).
+def make_blocks(docs: DataFrame, pack: Callable[[pa.Table], bytes], column: str = "text", spread: bool = True) -> DataFrame:
+    """Documents as blocks: (block, payload of ``pack``), hashed by block unless ``spread`` is off.
 
     Block ids name the scan's partition and the place in it, so a task that runs again makes the same blocks.
     """
@@ -109,7 +109,8 @@ def make_blocks(docs: DataFrame, pack: Callable[[pa.Table], bytes], column: str
                 {"block": pa.array([first + i], pa.int64()), "payload": pa.array([pack(table)], pa.binary())}
             )
 
-    return docs.mapInArrow(packed, BLOCK_SCHEMA).repartition(partitions_for(docs), "block")
+    blocks = docs.mapInArrow(packed, BLOCK_SCHEMA)
+    return blocks.repartition(partitions_for(docs), "block") if spread else blocks
 
 
 def pack_texts(table: pa.Table) -> bytes:

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from minewright.llm import (
     byte_bpe,
     chat_format,
+    class_lm,
     decontamination,
     host_rules,
     jaccard_join,
     language_id,
     page_text,
     substring_dedup,
+    toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,3 +179,16 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """)
 def op10_jaccard_join(spark, sf):
     return jaccard_join.link_components(spark, table(spark, sf, "documents"))
+
+
+@_query()
+def op5_toxicity(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    usable = language_id.in_training(F.col("doc_id"), 3, 1)
+    found = toxicity.score(spark, docs, toxicity.train(spark, docs, labels, usable))
+    return found.select("doc_id", (~usable).alias("held_out"), "score", "predicted")
+
+
+@_query()
+def op3_class_lm(spark, sf):
+    return class_lm.score_documents(spark, table(spark, sf, "documents"))
