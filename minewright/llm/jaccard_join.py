@@ -10,9 +10,10 @@ documents come last in that order; this only makes buckets small, the order itse
 1. Equal sets become one node (the smallest ``doc_id``); copies are counted together before the shuffle.
 2. In each bucket a document meets its neighbour by size and the smallest of fitting size: linear in the bucket. Pairs
    that pass the bound are verified on their whole texts; components follow.
-3. Buckets of four or more documents that still hold several components get an R-tree, which yields every further pair
-   between components that passes the bound. They are verified in the same way, so no link between components is lost,
-   and a large group of near copies, which is one component by then, makes no pairs.
+3. Buckets of four or more documents that still hold several components get an R-tree. First each document tries the
+   ``PARTNERS`` documents of other components with the largest bounds. Then the trees yield every pair that is left between
+   components and passes the bound, so no link between components is lost; a large group of near copies is one component
+   by then and makes no pairs.
 """
 
 from __future__ import annotations
@@ -31,13 +32,14 @@ from minewright.plans.lineage import cut_lineage, release
 
 SHINGLE = 4
 PERCENT = 85
-GROUPS = 32
+GROUPS = 256
 LEAF = 64
+PARTNERS = 2
 SLICE_BYTES = 2 << 20
 ORDER_SAMPLE = 4000
 ORDER_SEEN = 4
 ORDER_LIST = 50_000
-_FULL = np.uint16(65535)
+_FULL = np.uint8(255)
 
 
 def _sets(table: pa.Table, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +73,7 @@ def _prefix(own: np.ndarray, late: np.ndarray, percent: int) -> np.ndarray:
 def _vectors(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     cells = rows * GROUPS + (mix(values ^ np.uint64(99)) % np.uint64(GROUPS)).astype(np.int64)
-    return np.minimum(np.bincount(cells, minlength=(len(bounds) - 1) * GROUPS), _FULL).astype(np.uint16).reshape(-1, GROUPS)
+    return np.minimum(np.bincount(cells, minlength=(len(bounds) - 1) * GROUPS), _FULL).astype(np.uint8).reshape(-1, GROUPS)
 
 
 def _profiles(docs: DataFrame, shingle: int, percent: int, late) -> DataFrame:
@@ -108,12 +110,15 @@ def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((low == _FULL).any(-1), np.int64(1) << 60, low.sum(-1, dtype=np.int64))
 
 
-def tree_pairs(points: np.ndarray, sizes: np.ndarray, groups: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of different ``groups`` that the bound leaves, by an R-tree of leaves of ``LEAF`` points packed by size.
+def tree_pairs(
+    points: np.ndarray, sizes: np.ndarray, groups: np.ndarray, percent: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of different ``groups`` that the bound leaves, with it, by an R-tree of leaves of ``LEAF`` points.
 
-    A leaf's box has its largest coordinates and its smallest size; leaves meet only when their boxes can hold a link.
+    Leaves are packed by size; a leaf's box has its largest coordinates and its smallest size. Leaves meet only when their
+    boxes can hold a link.
     """
-    order = np.lexsort((points.argmax(1), sizes))
+    order = np.lexsort((groups, sizes))
     edges = np.arange(0, len(order), LEAF)
     sorted_points, sorted_sizes, sorted_groups = points[order], sizes[order], groups[order]
     boxes = np.maximum.reduceat(sorted_points, edges)
@@ -128,14 +133,13 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, groups: np.ndarray, percen
         own = slice(start, start + LEAF)
         for j in near.tolist():
             other = slice(int(edges[j]), int(edges[j]) + LEAF)
-            fits = overlap_bound(sorted_points[own, None], sorted_points[None, other]) >= overlap_needed(
-                sorted_sizes[own, None], sorted_sizes[None, other], percent
-            )
+            bound = overlap_bound(sorted_points[own, None], sorted_points[None, other])
+            fits = bound >= overlap_needed(sorted_sizes[own, None], sorted_sizes[None, other], percent)
             fits &= sorted_groups[own, None] != sorted_groups[None, other]
+            if j == i:
+                fits = np.triu(fits, 1)
             x, y = np.nonzero(fits)
-            x, y = x + start, y + int(edges[j])
-            once = x < y
-            yield order[x[once]], order[y[once]]
+            yield order[x + start], order[y + int(edges[j])], bound[x, y]
 
 
 def _meet(postings: DataFrame, percent: int) -> DataFrame:
@@ -196,7 +200,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, GROUPS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -224,8 +228,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return links
 
 
-def _further_pairs(met: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs between components in the larger buckets that an R-tree of the bucket leaves."""
+def _tree_rows(met: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the larger buckets that hold several components, sorted by bucket within partitions."""
+    rows = met.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc_id")).distinct()
+    rows = rows.join(labels.withColumnRenamed("id", "doc_id"), "doc_id")
+    mixed = rows.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    rows = rows.join(mixed.filter("_low < _high").select("key"), "key").join(nodes.select("doc_id", "n", "point"), "doc_id")
+    ordered = rows.select("key", "doc_id", "n", "component", "point").repartition(B.partitions_for(met), "key")
+    return ordered.sortWithinPartitions("key")
+
+
+def _tree_pairs(rows: DataFrame, percent: int, best: bool) -> DataFrame:
+    """(a, b, bound) of pairs between components that the trees leave; ``best``: the largest bound of each row only."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -246,17 +260,36 @@ def _further_pairs(met: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).tolist()
         for low, high in zip(starts, [*starts[1:], len(key)], strict=True):
             own = slice(low, high)
-            for x, y in tree_pairs(points[own], n[own], label[own], percent):
-                a, b = doc[own][x], doc[own][y]
-                yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+            top, partner = np.zeros(high - low, np.int64), np.full(high - low, -1)
+            for x, y, bound in tree_pairs(points[own], n[own], label[own], percent):
+                if not best:
+                    yield pairs_of(doc[own][x], doc[own][y], bound)
+                    continue
+                for one, two in ((x, y), (y, x)):
+                    order = np.argsort(bound, kind="stable")
+                    one, two, got = one[order], two[order], bound[order]
+                    more = got > top[one]
+                    top[one[more]], partner[one[more]] = got[more], two[more]
+            at = np.flatnonzero(partner >= 0)
+            if len(at):
+                yield pairs_of(doc[own][at], doc[own][partner[at]], top[at])
 
-    rows = met.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("doc_id")).distinct()
-    rows = rows.join(labels.withColumnRenamed("id", "doc_id"), "doc_id")
-    mixed = rows.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-    rows = rows.join(mixed.filter("_low < _high").select("key"), "key").join(nodes.select("doc_id", "n", "point"), "doc_id")
-    count = B.partitions_for(met)
-    ordered = rows.select("key", "doc_id", "n", "component", "point").repartition(count, "key").sortWithinPartitions("key")
-    return ordered.mapInArrow(scan, "a long, b long").distinct()
+    def pairs_of(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b), "bound": pa.array(bound, pa.int64())})
+
+    return rows.mapInArrow(scan, "a long, b long, bound long")
+
+
+def _best_partners(pairs: DataFrame) -> DataFrame:
+    """At most ``PARTNERS`` pairs of each document, those of the largest bounds."""
+    top = pairs.groupBy("a").agg(F.max(F.struct("bound", "b")).alias("top"))
+    rest = pairs.join(top.select("a", F.col("top.b").alias("taken")), "a").filter("b <> taken")
+    second = rest.groupBy("a").agg(F.max(F.struct("bound", "b")).alias("top"))
+    return top.union(second).select("a", F.col("top.b").alias("b"))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def link_components(
@@ -279,14 +312,18 @@ def link_components(
     spread = postings.repartition(B.partitions_for(docs), "key").sortWithinPartitions("key", "n", "doc_id")
     met = cut_lineage(_meet(spread, percent))
     pairs = met.filter("kind = 0 and a < b").select("a", "b").distinct()
-    links = _verified(cut_lineage(_bounded(pairs, nodes, percent)), docs, shingle, percent)
+    tried = cut_lineage(_bounded(pairs, nodes, percent))
+    links = _verified(tried, docs, shingle, percent)
     ids = nodes.select(F.col("doc_id").alias("id")).distinct()
-    edges = _both_ways(links)
-    labels = components(ids, edges)
-    further = cut_lineage(_further_pairs(met, nodes, labels, percent))
-    if not further.isEmpty():
-        more = _verified(further, docs, shingle, percent)
-        labels = components(ids, edges.union(_both_ways(more)))
+    labels = components(ids, _both_ways(links))
+    for best in (True, False):
+        rows = _tree_rows(met, nodes, labels)
+        more = _tree_pairs(rows, percent, best)
+        more = cut_lineage(_ordered(_best_partners(cut_lineage(more)) if best else more).join(tried, ["a", "b"], "left_anti"))
+        if more.isEmpty():
+            break
+        links, tried = links.union(_verified(more, docs, shingle, percent)), tried.union(more)
+        labels = components(ids, _both_ways(links))
     release(met)
     known = nodes.join(labels.withColumnRenamed("id", "doc_id"), "doc_id").select("mark", F.col("component"))
     known = known.groupBy("mark").agg(F.min("component").alias("component"))
