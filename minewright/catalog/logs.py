@@ -75,7 +75,7 @@ stored AS (
   SELECT client, req, CASE WHEN req % 83 = 0 THEN req - 5000 ELSE req END AS pos FROM sent WHERE req % 97 <> 0
   UNION ALL SELECT client, req, req + 7 FROM sent WHERE req % 89 = 0),
 f AS (SELECT client, req, min(pos) AS pos, count(*) AS n FROM stored GROUP BY ALL),
-j AS (SELECT s.client, s.req, pos, n, lag(pos) OVER (PARTITION BY s.client ORDER BY s.req) AS before
+j AS (SELECT s.client, s.req, pos, n, lag(pos IGNORE NULLS) OVER (PARTITION BY s.client ORDER BY s.req) AS before
       FROM sent s LEFT JOIN f ON f.client = s.client AND f.req = s.req)
 SELECT client, count(*) AS n_sent, count(*) FILTER (pos IS NULL) AS n_missing, count(*) FILTER (n > 1) AS n_duplicated,
   count(*) FILTER (pos <= before) AS n_disordered

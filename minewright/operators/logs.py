@@ -85,11 +85,14 @@ def dedup_requests(log: DataFrame, request: Sequence[str] = ("client", "req"), o
 def check_appends(sent: DataFrame, stored: DataFrame, width: int = BLOCK_WIDTH) -> DataFrame:
     """``(client, n_sent, n_missing, n_duplicated, n_disordered)`` of ``(client, req)`` against ``(client, req, pos)``.
 
-    A request must be stored once, and its first position must come after that of the client's request before it.
+    A request must be stored once, and its first position must come after that of the client's last stored request
+    before it.
     """
     found = stored.groupBy("client", "req").agg(F.min("pos").alias("_pos"), F.count(F.lit(1)).alias("_n"))
     joined = sent.select("client", "req").distinct().join(found, ["client", "req"], "left")
-    ordered = with_previous(joined, ["client"], ["req"], sequence_block("req", width), {"_before": "_pos"})
+    placed = joined.filter(F.col("_pos").isNotNull())
+    ordered = with_previous(placed, ["client"], ["req"], sequence_block("req", width), {"_before": "_pos"})
+    ordered = ordered.unionByName(joined.filter(F.col("_pos").isNull()), allowMissingColumns=True)
     return ordered.groupBy("client").agg(
         F.count(F.lit(1)).alias("n_sent"),
         F.count(F.when(F.col("_pos").isNull(), 1)).alias("n_missing"),

@@ -68,7 +68,7 @@ def span_array(tags: str) -> Column:
         same = F.coalesce(_type(after) == _type(tag), F.lit(False))
         goes_on = same & (_class(after) == "I")
         return F.when(
-            (_class(tag) != "O") & ~F.coalesce(goes_on, F.lit(False)),
+            _class(tag).isin("B", "I") & ~F.coalesce(goes_on, F.lit(False)),
             F.when(same & (_class(after) == "O"), i + 1).otherwise(i),
         )
 

@@ -24,7 +24,10 @@ def _with_carry(
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     tails = blocked.groupBy(*keys, BLOCK).agg(tail.alias("_tail"))
     carried = tails.select(*keys, BLOCK, carry.over(before).alias("_carry"))
-    return blocked.join(carried, [*keys, BLOCK])
+    names = [*keys, BLOCK]
+    right = carried.select(*[F.col(c).alias(f"_right_{c}") for c in names], "_carry")
+    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in names]
+    return blocked.join(right, same).drop(*[f"_right_{c}" for c in names])
 
 
 def _in_block(keys: Sequence[str], order: Sequence[Column | str]) -> Window:

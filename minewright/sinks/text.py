@@ -29,7 +29,7 @@ def merge_sorted(outputs: DataFrame) -> DataFrame:
 
 
 def kv_lines(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.concat_ws(": ", "key", "value").alias("line"))
+    return pairs.select(F.concat(F.col("key"), F.lit(": "), F.coalesce("value", F.lit(""))).alias("line"))
 
 
 def write_kv_sorted(outputs: DataFrame, path: str) -> None:

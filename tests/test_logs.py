@@ -5,6 +5,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from minewright.operators.logs import check_appends
+from minewright.plans.ordered import sequence_block, with_previous
 from minewright.operators import logs as ops
 from minewright.streaming import logs as streams
 
@@ -163,3 +165,15 @@ def test_stream_sessions_equal_closed_batch_sessions(spark, tmp_path):
     got = rows(spark.read.parquet(f"{tmp_path}/out").withColumn("start", F.unix_micros("start")), "server", "start", "n")
     batch = ops.sessions(frame.filter("server <> 'sentinel'").withColumn("ts", F.col("ts").cast("timestamp")), 0.5)
     assert got == rows(batch.withColumn("start", F.unix_micros("start")), "server", "start", "n")
+
+
+def test_disorder_is_seen_over_a_missing_request(spark):
+    sent = spark.createDataFrame([("a", i) for i in (1, 2, 3)], "client string, req long")
+    stored = spark.createDataFrame([("a", 1, 10), ("a", 3, 5)], "client string, req long, pos long")
+    assert [tuple(r) for r in check_appends(sent, stored).collect()] == [("a", 3, 1, 0, 1)]
+
+
+def test_rows_with_null_keys_stay(spark):
+    rows_ = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("a", 1, 7), ("a", None, 8)], "k string, at long, v long")
+    got = with_previous(rows_, ["k"], ["at"], sequence_block("at", 10), {"before": "v"})
+    assert sorted((r.v, r.before) for r in got.collect()) == [(5, None), (6, 5), (7, 8), (8, None)]

@@ -160,3 +160,10 @@ def test_batches_and_chars(spark):
     assert rows(encoded, "pos", "char_ids") == [(0, [1, 0, 1]), (1, [0]), (2, [])]
     good, bad = corpus.encode_tags(spark.createDataFrame([(0, "O"), (1, "Z")], "pos int, tag string"), spark.createDataFrame([("O", 5)], "tag string, id int"))
     assert rows(good, "pos", "tag_id") == [(0, 5)] and rows(bad, "pos", "tag") == [(1, "Z")]
+
+
+def test_invalid_tags_make_no_spans(spark):
+    from minewright.operators.tagging import span_array
+
+    row = spark.createDataFrame([(["B-PER", "X-PER", "B-LOC", "O"],)], "tags array<string>").select(span_array("tags")).first()[0]
+    assert [tuple(s) for s in row] == [("PER", 0, 0), ("LOC", 2, 2)]
