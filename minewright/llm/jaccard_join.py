@@ -29,6 +29,7 @@ from minewright.llm import blocks as B
 from minewright.llm.wordhash import mix, shingle_sets, words_of
 from minewright.operators.graph import components
 from minewright.plans.lineage import cut_lineage, release
+from minewright.plans.spread import spread_join
 
 SHINGLE = 4
 PERCENT = 85
@@ -322,8 +323,7 @@ def link_components(
         more = cut_lineage(_ordered(_best_partners(cut_lineage(more)) if best else more).join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
             break
-        links, tried = links.union(_verified(more, docs, shingle, percent)), tried.union(more)
-        labels = components(ids, _both_ways(links))
+        labels, tried = _merged(labels, _verified(more, docs, shingle, percent)), tried.union(more)
     release(met)
     known = nodes.join(labels.withColumnRenamed("id", "doc_id"), "doc_id").select("mark", F.col("component"))
     known = known.groupBy("mark").agg(F.min("component").alias("component"))
@@ -339,6 +339,19 @@ def _both_ways(links: DataFrame) -> DataFrame:
     )
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links: only the components that these links join are gone through again."""
+    of = [labels.select(F.col("id").alias(end), F.col("component").alias(name)) for end, name in (("a", "x"), ("b", "y"))]
+    ends = spread_join(spread_join(links, of[0], "a", spread_by=["b"]), of[1], "b", spread_by=["a"])
+    joined = cut_lineage(_ordered(ends.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    if joined.isEmpty():
+        return labels
+    touched = joined.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    lower = components(touched, _both_ways(joined)).select(F.col("id").alias("component"), F.col("component").alias("lower"))
+    renamed = spread_join(labels, lower, "component", "left", spread_by=["id"])
+    return cut_lineage(renamed.select("id", F.coalesce("lower", "component").alias("component")))
+
+
 def keep_first(spark: SparkSession, docs: DataFrame, *, shingle: int, percent: int) -> DataFrame:
     """One document of each component, the one with the smallest id, with all columns; rows without an id stay."""
     found = link_components(spark, docs, shingle=shingle, percent=percent)
