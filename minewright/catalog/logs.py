@@ -127,6 +127,9 @@ WITH p AS (SELECT user_id AS server, ts, lag(ts) OVER (PARTITION BY user_id ORDE
 SELECT server, epoch_us(last_ping) AS last_ping, epoch_us(last_ping) + {GAP_MILLIS * 5000} AS dead_from,
   epoch_us(ts) AS back_at
 FROM p WHERE epoch_us(ts) - epoch_us(last_ping) > {GAP_MILLIS * 5000}
+UNION ALL
+SELECT user_id, epoch_us(max(ts)), epoch_us(max(ts)) + {GAP_MILLIS * 5000}, NULL
+FROM events GROUP BY user_id HAVING (SELECT max(epoch_us(ts)) FROM events) - epoch_us(max(ts)) > {GAP_MILLIS * 5000}
 """)
 def ping_gaps(spark, sf):
     gaps = ops.ping_gaps(pings(spark, sf), GAP_MILLIS, 5, BLOCK_SECONDS)

@@ -284,23 +284,21 @@ def encoded_tags(spark, sf):
 
 
 _CHARS = """
-cv AS (SELECT char, row_number() OVER (ORDER BY char) - 1 AS id
-       FROM (SELECT DISTINCT unnest(string_split(word, '')) AS char FROM tok) WHERE regexp_matches(char, '^[a-z]$')),
-wc AS (SELECT DISTINCT word, string_split(word, '') AS c FROM tok),
-ws AS (SELECT word, list_transform(list_filter(c, lambda x: x >= 'a' AND x <= 'z'),
-         lambda x: (ascii(x) - ascii('a'))::BIGINT) AS ids FROM wc)"""
+wc AS (SELECT word, unnest(c) AS char, generate_subscripts(c, 1) AS i
+       FROM (SELECT DISTINCT word, string_split(word, '') AS c FROM tok)),
+cv AS (SELECT char, row_number() OVER (ORDER BY char) - 1 AS id FROM (SELECT DISTINCT char FROM wc)),
+ws AS (SELECT word, list(id ORDER BY i) AS ids FROM wc JOIN cv USING (char) GROUP BY word)"""
 
 
-def _lower_chars(spark: SparkSession, sf: str) -> DataFrame:
-    """Ids 0..25 for those of the letters a to z that the corpus has: other characters are unknown."""
-    chars = corpus.char_vocab(words_only(spark, sf)).filter(F.col("char").rlike("^[a-z]$"))
-    return chars.select("char", (F.ascii("char") - F.lit(ord("a"))).cast("bigint").alias("id"))
+def _chars(spark: SparkSession, sf: str) -> DataFrame:
+    """All characters of the corpus, numbered."""
+    return corpus.number_vocab(corpus.char_vocab(words_only(spark, sf)), "char")
 
 
 @query(f"WITH {_TOK}, {_CHARS} SELECT word, array_to_string(ids, ' ') AS char_ids FROM ws")
 def encoded_chars(spark, sf):
     rows = corpus.word_rows(words_only(spark, sf)).select("word").distinct()
-    encoded = corpus.encode_chars(rows, _lower_chars(spark, sf))
+    encoded = corpus.encode_chars(rows, _chars(spark, sf))
     return encoded.select("word", F.array_join(F.col("char_ids").cast("array<string>"), " ").alias("char_ids"))
 
 
@@ -355,7 +353,7 @@ SELECT sent_id, batch, ln::BIGINT AS sentence_size, lw::BIGINT AS word_size,
 FROM m
 """)
 def padded_chars(spark, sf):
-    rows = corpus.encode_chars(corpus.word_rows(words_only(spark, sf)), _lower_chars(spark, sf))
+    rows = corpus.encode_chars(corpus.word_rows(words_only(spark, sf)), _chars(spark, sf))
     batched = corpus.batch_ids(corpus.gather_tokens(rows, "char_ids", "char_ids"), BATCH)
     padded = corpus.pad_nested(batched, pad=-1)
     text = F.array_join(F.transform("char_ids", lambda w: F.array_join(w.cast("array<string>"), " ")), "/")
@@ -424,10 +422,11 @@ def chunk_f1(spark, sf):
 
 
 @query(f"""
-WITH {_TAGGED} SELECT sent_id, string_agg(tag, ' ' ORDER BY pos) AS line FROM tagged GROUP BY sent_id
+WITH {_TAGGED} SELECT doc_id AS sent_id, coalesce(string_agg(tag, ' ' ORDER BY pos), '') AS line
+FROM documents LEFT JOIN tagged ON sent_id = doc_id GROUP BY doc_id
 """)
 def tag_lines(spark, sf):
-    return tag_line_layout(sentences(spark, sf)).filter(F.col("line") != "")
+    return tag_line_layout(sentences(spark, sf))
 
 
 @query(rf"""

@@ -131,7 +131,7 @@ def encode_chars(rows: DataFrame, chars: DataFrame) -> DataFrame:
     known = spelled.join(F.broadcast(chars.select("char", "id")), "char")
     ordered = F.array_sort(F.collect_list(F.struct("_i", "id")))
     words = known.groupBy("word").agg(ordered.alias("_c")).select("word", F.col("_c.id").alias("char_ids"))
-    spread = [c for c in rows.columns if c != "word"]
+    spread = [c for c in rows.columns if c != "word"] or ["word"]
     joined = spread_join(rows, words, "word", "left", spread_by=spread)
     return joined.withColumn("char_ids", F.coalesce("char_ids", F.array().cast("array<bigint>")))
 

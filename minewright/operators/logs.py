@@ -132,12 +132,21 @@ def ping_gaps(
     interval_millis: int = PING_MILLIS,
     dead_pings: int = DEAD_PINGS,
     block_seconds: int = BLOCK_SECONDS,
+    as_of: Column | None = None,
 ) -> DataFrame:
-    """``(server, last_ping, dead_from, back_at)``: times in which a server missed ``dead_pings`` pings in a row."""
+    """``(server, last_ping, dead_from, back_at)``: times in which a server missed ``dead_pings`` pings in a row.
+
+    A server that is still down at ``as_of`` (by default the latest ``ts`` of all pings) has no ``back_at``.
+    """
     limit = interval_millis * dead_pings * 1000
-    before = _with_last_ping(pings.select("server", "ts"), block_seconds)
-    gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("_before").cast("timestamp"))
-    return before.filter(gap > limit).select(
+    pings = pings.select("server", "ts")
+    now = pings.agg(F.max("ts")).scalar() if as_of is None else as_of
+    returned = _with_last_ping(pings, block_seconds)
+    last = pings.groupBy("server").agg(F.max("ts").alias("_before"))
+    still = last.withColumn("ts", F.lit(None).cast(pings.schema["ts"].dataType)).withColumn("_until", now)
+    both = returned.select("server", "_before", "ts", F.col("ts").alias("_until")).unionByName(still)
+    gap = F.unix_micros(F.col("_until").cast("timestamp")) - F.unix_micros(F.col("_before").cast("timestamp"))
+    return both.filter(gap > limit).select(
         "server",
         F.col("_before").alias("last_ping"),
         (F.col("_before") + F.make_dt_interval(secs=F.lit(limit / 1_000_000))).alias("dead_from"),

@@ -104,9 +104,12 @@ def ping_rows():
 def test_gaps_and_sessions(spark, block_seconds):
     data = ping_rows()
     pings = spark.createDataFrame(data, "server string, ts timestamp_ntz").repartition(3)
-    gaps, runs = [], []
+    gaps, runs, until = [], [], max(t for _, t in data)
+    down = []
     for server in ("a", "b"):
         times = [t for s, t in data if s == server]
+        if (until - times[-1]).total_seconds() > 0.5:
+            down.append((server, times[-1], times[-1] + dt.timedelta(seconds=0.5), None))
         run = [times[0]]
         for before, after in zip(times, times[1:]):
             if (after - before).total_seconds() > 0.5:
@@ -115,7 +118,13 @@ def test_gaps_and_sessions(spark, block_seconds):
                 run = []
             run.append(after)
         runs.append((server, run[0], run[-1], len(run)))
-    assert rows(ops.ping_gaps(pings, block_seconds=block_seconds), "server", "last_ping", "dead_from", "back_at") == sorted(gaps)
+    assert down
+    columns = ("server", "last_ping", "dead_from", "back_at")
+    found = ops.ping_gaps(pings, block_seconds=block_seconds)
+    assert rows(found.filter("back_at IS NOT NULL"), *columns) == sorted(gaps)
+    assert rows(found.filter("back_at IS NULL"), *columns) == down
+    later = ops.ping_gaps(pings, block_seconds=block_seconds, as_of=F.lit(until + dt.timedelta(seconds=9)))
+    assert later.filter("back_at IS NULL").count() == 2
     assert rows(ops.sessions(pings, 0.5, block_seconds), "server", "start", "end", "n") == sorted(runs)
 
 
