@@ -77,7 +77,28 @@ SELECT token AS key, count(*)::VARCHAR AS value
 FROM (SELECT unnest({_SPACED}) AS token FROM documents) WHERE token <> '' GROUP BY token
 """)
 def map_reduce_wc(spark, sf):
-    return ops.map_reduce(documents(spark, sf), _emit_ones, _add_up)
+    return ops.map_reduce(documents(spark, sf), _emit_ones, _add_up, combine_fn=_add_up)
+
+
+def _emit_doc(doc, contents):
+    for token in contents.split():
+        yield token, doc
+
+
+def _count_and_least(key, values):
+    count, least = 0, None
+    for value in values:
+        count += 1
+        least = value if least is None else min(least, value)
+    return f"{count}:{least}"
+
+
+@query(f"""
+SELECT token AS key, count(*) || ':' || min(doc_id::VARCHAR) AS value
+FROM (SELECT doc_id, unnest({_SPACED}) AS token FROM documents) WHERE token <> '' GROUP BY token
+""")
+def map_reduce_list(spark, sf):
+    return ops.map_reduce(documents(spark, sf), _emit_doc, _count_and_least)
 
 
 @query("""

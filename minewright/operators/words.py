@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,54 +109,69 @@ def top_postings(
 def map_reduce(
     docs: DataFrame,
     map_fn: Callable[[str, str], Iterable[KeyValue]],
-    reduce_fn: Callable[[str, list[str]], str],
+    reduce_fn: Callable[[str, Iterator[str]], str],
     doc_id: str = "doc_id",
     text: str = "text",
+    combine_fn: Callable[[str, Iterator[str]], str] | None = None,
     salts: int = 64,
     buffered_pairs: int = 200_000,
 ) -> DataFrame:
     """``(key, value)`` of a user map function ``(doc, contents) -> pairs`` and reduce function ``(key, values)``.
 
-    ``reduce_fn`` must accept its own results among the values (sum, union, minimum), because it also combines inside
-    the map tasks and once a salt; a hot key thus reaches its last call with at most ``salts`` values.
+    ``reduce_fn`` is called once a key with an iterator over all its values in no set order, which are streamed and not
+    held. Values of one key then meet in one task. Where the values of a key can be merged on the way, ``combine_fn`` does
+    so inside the map tasks and once a salt, and ``reduce_fn`` sees at most ``salts`` merged values; it must accept its
+    own results among the values (sum, union, minimum).
     """
 
-    def combine(pairs: dict[str, list[str]]) -> pd.DataFrame:
+    def map_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = TaskContext.get().partitionId() % salts
-        rows = [(key, salt, reduce_fn(key, values)) for key, values in pairs.items()]
-        return pd.DataFrame(rows, columns=["key", "salt", "value"])
-
-    def map_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pending: dict[str, list[str]] = {}
         held = 0
+
+        def flush() -> pa.RecordBatch:
+            if combine_fn is None:
+                pairs = [(key, value) for key, values in pending.items() for value in values]
+            else:
+                pairs = [(key, combine_fn(key, iter(values))) for key, values in pending.items()]
+            return pair_batch(pairs, salt)
+
         for batch in batches:
-            for doc, contents in zip(batch["doc"], batch["contents"]):
+            for doc, contents in zip(batch.column("doc").to_pylist(), batch.column("contents").to_pylist()):
                 for key, value in map_fn(doc, contents):
                     pending.setdefault(key, []).append(value)
                     held += 1
-                if held >= buffered_pairs:
-                    yield combine(pending)
-                    pending, held = {}, 0
+                    if held >= buffered_pairs:
+                        yield flush()
+                        pending, held = {}, 0
         if pending:
-            yield combine(pending)
-
-    def reduce_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            reduced = [reduce_fn(key, list(values)) for key, values in zip(batch["key"], batch["values"])]
-            yield batch.assign(value=reduced).drop(columns="values")
+            yield flush()
+
+    def pair_batch(pairs: list[KeyValue], salt: int) -> pa.RecordBatch:
+        columns = [pa.array([pair[i] for pair in pairs], pa.string()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(
+            [columns[0], pa.array([salt] * len(pairs), pa.int32()), columns[1]], ["key", "salt", "value"]
+        )
+
+    def merged(pairs: DataFrame, keys: Sequence[str], function: Callable[[str, Iterator[str]], str]) -> DataFrame:
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+            done: list[KeyValue] = []
+            for key, group in groupby(rows, key=lambda row: row[: len(keys)]):
+                done.append((key[0], function(key[0], (value for *_, value in group))))
+                if len(done) >= 10_000:
+                    yield pair_batch(done, 0)
+                    done = []
+            if done:
+                yield pair_batch(done, 0)
+
+        return pairs.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(merge, "key string, salt int, value string")
 
     inputs = docs.select(F.col(doc_id).cast("string").alias("doc"), F.col(text).alias("contents"))
-    mapped = inputs.mapInPandas(map_batches, "key string, salt int, value string")
-    salted = (
-        mapped.groupBy("key", "salt")
-        .agg(F.collect_list("value").alias("values"))
-        .mapInPandas(reduce_batches, "key string, salt int, value string")
-    )
-    return (
-        salted.groupBy("key")
-        .agg(F.collect_list("value").alias("values"))
-        .mapInPandas(reduce_batches, "key string, value string")
-    )
+    mapped = inputs.mapInArrow(map_batches, "key string, salt int, value string")
+    if combine_fn is not None:
+        mapped = merged(mapped, ["key", "salt"], combine_fn)
+    return merged(mapped, ["key"], reduce_fn).select("key", "value")
 
 
 def partition_skew(df: DataFrame, key: Column, n: int) -> DataFrame:

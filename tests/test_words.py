@@ -36,8 +36,17 @@ def test_map_reduce_with_few_salts_and_small_buffers(spark):
     many = spark.createDataFrame([(i, "a b a") for i in range(500)], "doc_id bigint, text string").repartition(7)
     emit = lambda doc, text: ((t, "1") for t in text.split())
     add = lambda key, values: str(sum(map(int, values)))
-    got = ops.map_reduce(many, emit, add, salts=2, buffered_pairs=11)
+    for combine in (add, None):
+        got = ops.map_reduce(many, emit, add, combine_fn=combine, salts=2, buffered_pairs=11)
+        assert rows(got, "key", "value") == [("a", "1000"), ("b", "500")]
+
+
+def test_map_reduce_calls_reduce_once_a_key_with_all_values(spark):
+    many = spark.createDataFrame([(i, "a b a") for i in range(500)], "doc_id bigint, text string").repartition(7)
+    emit = lambda doc, text: ((t, "1") for t in text.split())
+    got = ops.map_reduce(many, emit, lambda key, values: str(len(list(values))), buffered_pairs=11)
     assert rows(got, "key", "value") == [("a", "1000"), ("b", "500")]
+    assert ops.map_reduce(many.limit(0), emit, lambda key, values: "x").count() == 0
 
 
 def test_hash_and_shard(spark):
