@@ -327,7 +327,8 @@ def link_components(
     release(met)
     known = nodes.join(labels.withColumnRenamed("id", "doc_id"), "doc_id").select("mark", F.col("component"))
     known = known.groupBy("mark").agg(F.min("component").alias("component"))
-    joined = profiles.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).join(known, "mark")
+    members = profiles.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).select("doc_id", "n", "mark")
+    joined = spread_join(members, known, "mark", spread_by=["doc_id"])
     alone = profiles.filter(F.col("doc_id").isNull() | (F.col("n") == 0)).withColumn("component", F.col("doc_id"))
     columns = ["doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")]
     return joined.select(*columns).union(alone.select(*columns))
