@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -19,8 +20,16 @@ PAD_TOKEN = "<PAD>"
 TIME_TAG = "B-TIME"
 DATE_SUFFIXES = "年月日"
 
-# Decimal digits of any script plus the superscripts, subscripts and circled digits that count as digits too.
-_DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐]"
+
+def _digit_class() -> str:
+    """Regex class of the characters that count as digits, by Python's tables: those of the JVM may know fewer scripts."""
+    points = [c for c in range(sys.maxunicode + 1) if chr(c).isdigit()]
+    first = [c for c in points if not chr(c - 1).isdigit()]
+    last = [c for c in points if not chr(c + 1).isdigit()]
+    return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in zip(first, last, strict=True)) + "]"
+
+
+_DIGIT = _digit_class()
 
 
 def is_ascii_word(word: Column) -> Column:

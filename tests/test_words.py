@@ -1,3 +1,5 @@
+import sys
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -71,3 +73,10 @@ def test_digit_classes(spark):
     got = {r["w"]: (r["n"], r["l"]) for r in df.select("w", is_number_token(F.col("w")).alias("n"), is_latin_alpha_word(F.col("w")).alias("l")).collect()}
     assert [got[w][0] for w in ("12", "１２", "²", "1a", "")] == [True, True, True, False, False]
     assert got[""][1] and got["ab"][1] and not got["1a"][1]
+
+
+def test_number_tokens_are_all_digit_characters(spark):
+    points = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(c,) for c in points if c.isdigit() or c.isnumeric() or c.isalpha() and ord(c) < 0x3000], "c string")
+    found = {r["c"] for r in df.filter(is_number_token(F.col("c"))).collect()}
+    assert found == {c for c in points if c.isdigit()}
