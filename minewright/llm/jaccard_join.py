@@ -322,7 +322,7 @@ def link_components(
         more = _tree_pairs(rows, percent, best)
         more = cut_lineage(_ordered(_best_partners(cut_lineage(more)) if best else more).join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
-            break
+            continue
         labels, tried = _merged(labels, _verified(more, docs, shingle, percent)), tried.union(more)
     release(met)
     known = nodes.join(labels.withColumnRenamed("id", "doc_id"), "doc_id").select("mark", F.col("component"))

@@ -7,7 +7,9 @@ import re
 from collections import Counter
 from zlib import crc32
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -348,6 +350,34 @@ def test_tree_leaves_every_pair_that_can_link():
     assert got == {(i, j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(fits)), strict=True) if i < j}
 
 
+def test_link_behind_tried_partners_of_larger_bounds_is_found(spark, monkeypatch):
+    """One bucket of four equal sizes: only the second and fourth link, the pairs tried before are just under."""
+    monkeypatch.setattr(jaccard_join, "frequent_shingles", lambda docs, shingle: np.zeros(0, np.uint64))
+    pool = [f"w{i}" for i in range(6000)]
+    hashes = dict(zip(pool, jaccard_join._sets(pa.table({"text": pool}), 1)[0].tolist(), strict=True))
+    pool.sort(key=hashes.get)
+    draw, base = random.Random(3), pool[:360]
+    for _ in range(200):
+        extra = iter(draw.sample(pool[3000:], 200))
+        own = [list(base) for _ in range(4)]
+        for pair, n in {(1, 3): 8, (0, 1): 7, (0, 3): 7, (1, 2): 7, (2, 3): 7, (0, 2): 7}.items():
+            for word in [next(extra) for _ in range(n)]:
+                own[pair[0]].append(word)
+                own[pair[1]].append(word)
+        texts = [" ".join(o + [next(extra) for _ in range(400 - len(o))]) for o in own]
+        values, bounds = jaccard_join._sets(pa.table({"text": texts}), 1)
+        points = jaccard_join._vectors(values, bounds)
+        bound = jaccard_join.overlap_bound(points[:, None], points[None])
+        if max(bound[1, 0], bound[1, 2]) > bound[1, 3] < max(bound[3, 0], bound[3, 2]):
+            break
+    else:
+        pytest.fail("no such bucket drawn")
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string").cache()
+    docs.count()  # a table of known size, for the number of partitions
+    found = jaccard_join.link_components(spark, docs, shingle=1, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 2, 3: 3, 4: 2}
+
+
 def test_pipeline_stages(spark, docs, rows, tmp_path):
     items = [(0, " ".join({r[0]: r[1] for r in rows}[86].split()[500:540]))]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
