@@ -19,21 +19,40 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minewright.plans.spread import estimated_bytes
 
 BLOCK_BYTES = 8 << 20
 SCAN_BYTES_PER_PARTITION = 8 << 20
 SCAN_BYTES_PER_BUCKET = 16 << 20
 MAX_PARTITIONS = 100_000
+# Catalyst gives inputs that it knows nothing of (local rows, RDDs, unread caches) sizes near 2^63.
+UNKNOWN_BYTES = 1 << 62
 
 BLOCK_SCHEMA = "block long, payload binary"
 ASK_SCHEMA = "bucket int, block long, payload binary"
 
 
+def scanned_bytes(docs: DataFrame) -> int:
+    """Bytes that the frame reads: what Catalyst knows of its sources, or its text bytes, counted once, if it does not.
+
+    Sources are added up. The estimate of the whole plan is not used, because joins multiply it.
+    """
+    leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
+    known = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if known < UNKNOWN_BYTES:
+        return known
+    counted = getattr(docs, "_text_bytes", None)
+    if counted is None:
+        texts = [F.octet_length(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() in ("string", "binary")]
+        sizes = [F.coalesce(F.sum(t), F.lit(0)) for t in texts]
+        counted = sum(docs.agg(*[n.alias(f"_{i}") for i, n in enumerate(sizes)]).first()) if sizes else 0
+        docs._text_bytes = counted
+    return counted
+
+
 def partitions_for(docs: DataFrame, scan_bytes: int = SCAN_BYTES_PER_PARTITION) -> int:
     """Shuffle partitions for an input: those of the session, or more when the scan is large."""
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(MAX_PARTITIONS, max(least, estimated_bytes(docs) // scan_bytes)))
+    return max(1, min(MAX_PARTITIONS, max(least, scanned_bytes(docs) // scan_bytes)))
 
 
 def shrink(*arrays: np.ndarray | bytes) -> bytes:

@@ -29,11 +29,16 @@ TRAIN_WORDS = 100
 ROUNDS = 40
 WEIGHTS = 1 << 17
 UNDETERMINED = "und"
-SLICE_BYTES = 16 << 20
-CELLS = 1_000_000
+SLICE_BYTES = 2 << 20
+CELLS = 250_000
 CACHED_WORDS = 150_000
 
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """True with a letter in it. The class of ``_WORDLIKE`` also takes superscripts, fractions and Roman numerals."""
+    return any(found.group().isalpha() for found in _WORDLIKE.finditer(text))
 
 
 def in_training(doc_id: Column, parts: int, left_out: int) -> Column:
@@ -47,7 +52,7 @@ def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray
     Features are hashes of the word, of the one to five bytes at every place of the word between edge marks (with a mark
     they are affixes) and of the lexicon's verdict.
     """
-    lettered = [i for i, w in enumerate(words) if _LETTER.search(w)]
+    lettered = [i for i, w in enumerate(words) if has_letter(w)]
     if not lettered:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     lowered = [words[i].lower() for i in lettered]
@@ -117,17 +122,20 @@ class Field:
         return np.stack(sums, 1).astype(np.float32)
 
 
+def training_window(text: str) -> list[str]:
+    """The ``TRAIN_WORDS`` consecutive words of a text that the fit sees, placed by its hash; a shorter text is its own."""
+    words = text.split()
+    at = crc32(text.encode()) % max(1, len(words) - TRAIN_WORDS + 1)
+    return words[at : at + TRAIN_WORDS]
+
+
 def fit(texts: list[str], labels: list[str], rounds: int = ROUNDS) -> Field:
     """Fit the field on labelled texts: Adagrad on the log likelihood, whole sample a round."""
     languages = sorted(set(labels))
     states = len(languages)
     number = {name: i for i, name in enumerate(languages)}
-    windows = []
-    for text, label in zip(texts, labels, strict=True):
-        words = text.split()
-        if words:
-            at = crc32(text.encode()) % max(1, len(words) - TRAIN_WORDS + 1)
-            windows.append((words[at : at + TRAIN_WORDS], number[label]))
+    cut = [(training_window(text), number[label]) for text, label in zip(texts, labels, strict=True)]
+    windows = [(words, label) for words, label in cut if words]
     seen: dict[str, np.ndarray] = {}
     for words, label in windows:
         for word in {w.lower() for w in words}:
@@ -180,15 +188,17 @@ def train(docs: DataFrame, usable: Column, per_language: int = DOCS_PER_LANGUAGE
     rate = F.create_map([F.lit(x) for name, n in sorted(sizes.items()) for x in (name, per_language / n)])
     draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = rows.filter(draw < rate[F.col("lang")]).select("lang", "text", draw.alias("draw"))
-    sample = drawn.orderBy("draw", "lang", "text").limit(2 * per_language * len(sizes)).collect()
+    # Only windows travel to the driver: a text of one window is its own window there.
+    cut = F.pandas_udf(lambda texts: texts.map(lambda t: " ".join(training_window(t))), "string")
+    sample = drawn.withColumn("text", cut("text")).orderBy("draw", "lang", "text").limit(2 * per_language * len(sizes)).collect()
     return fit([r["text"] for r in sample], [r["lang"] for r in sample])
 
 
 class _Tagger:
     def __init__(self, field: Field):
         self.field, self.places = field, {}
-        self.scores = np.zeros((0, len(field.languages)), np.float32)
-        self.letters = np.zeros(0, bool)
+        self.scores = np.zeros((1024, len(field.languages)), np.float32)
+        self.letters = np.zeros(1024, bool)
 
     def _look_up(self, words: list[str]) -> list[int]:
         if len(self.places) > CACHED_WORDS:
@@ -198,20 +208,26 @@ class _Tagger:
         if fresh:
             base = len(places)
             places.update((w, base + i) for i, w in enumerate(fresh))
-            self.scores = np.concatenate([self.scores, self.field.word_scores(fresh)])
-            self.letters = np.concatenate([self.letters, [bool(_LETTER.search(w)) for w in fresh]])
+            end = base + len(fresh)
+            if end > len(self.letters):
+                more = max(end, 2 * len(self.letters)) - len(self.letters)
+                self.scores = np.concatenate([self.scores, np.zeros((more, self.scores.shape[1]), np.float32)])
+                self.letters = np.concatenate([self.letters, np.zeros(more, bool)])
+            self.scores[base:end] = self.field.word_scores(fresh)
+            self.letters[base:end] = [has_letter(w) for w in fresh]
         return [places[w] for w in words]
 
     def means(self, texts: list[list[str]]) -> np.ndarray:
         """Mean probabilities of each text's words with a letter; all texts have words."""
         flat = self._look_up([w for t in texts for w in t])
         lengths = np.array([len(t) for t in texts])
-        scores = np.exp(self.scores - self.scores.max(1, keepdims=True))
+        scores = self.scores[flat]
+        scores = np.exp(scores - scores.max(1, keepdims=True))
         steps, states = int(lengths.max()), len(self.field.languages)
         at = np.repeat(np.arange(len(texts)), lengths)
         within = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         grid = np.ones((steps, len(texts), states), np.float32)
-        grid[within, at] = np.maximum(scores[flat], 1e-12)
+        grid[within, at] = np.maximum(scores, 1e-12)
         chance, _ = _forward_backward(grid, lengths, np.exp(self.field.change))
         counted = self.letters[flat]
         words = chance[within[counted], at[counted]]
@@ -221,7 +237,7 @@ class _Tagger:
 
 def _tag(texts: list[str | None], tagger: _Tagger) -> tuple[list[str], list[float]]:
     languages, sure = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-    words = {i: t.split() for i, t in enumerate(texts) if t and _LETTER.search(t)}
+    words = {i: t.split() for i, t in enumerate(texts) if t and has_letter(t)}
     if not tagger.field.languages:
         return languages, sure
     order = sorted(words, key=lambda i: len(words[i]))
