@@ -14,6 +14,7 @@ from minewright.llm import (
     chat_format,
     class_lm,
     decontamination,
+    fim,
     host_rules,
     jaccard_join,
     language_id,
@@ -192,3 +193,30 @@ def op5_toxicity(spark, sf):
 @_query()
 def op3_class_lm(spark, sf):
     return class_lm.score_documents(spark, table(spark, sf, "documents"))
+
+
+_LINES = r"regexp_extract_all(text, '[^\n]*\n|[^\n]+')"
+_DRAW = "('0x' || substr(h, {}, 8))::UBIGINT::BIGINT"
+
+
+@_query(rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, text, {_LINES} AS ls, {_DRAW.format(1)} AS h1, {_DRAW.format(9)} AS h2, {_DRAW.format(17)} AS h3,
+             {_DRAW.format(25)} AS h4 FROM d),
+c AS (SELECT *, len(ls)::BIGINT AS n, least(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS a,
+             greatest(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+                  THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(ls[1:a], '') AS pre, array_to_string(ls[a + 1:b], '') AS mid,
+             array_to_string(ls[b + 1:n], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+""")
+def op12_fill_in_middle(spark, sf):
+    cut = fim.with_restored(fim.transform(table(spark, sf, "documents")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
