@@ -13,6 +13,7 @@ from minewright.llm import (
     byte_bpe,
     chat_format,
     class_lm,
+    conversation_repair,
     decontamination,
     fim,
     host_rules,
@@ -220,3 +221,55 @@ def op12_fill_in_middle(spark, sf):
     cut = fim.with_restored(fim.transform(table(spark, sf, "documents")))
     digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
     return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@_query(r"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+g(n, j, v) AS (SELECT range, 0, range FROM range(256) UNION ALL
+      SELECT n, j + 1, CASE WHEN v % 2 = 1 THEN xor(3988292384::BIGINT, v >> 1) ELSE v >> 1 END FROM g WHERE j < 8),
+t AS MATERIALIZED (SELECT n, v AS tv FROM g WHERE j = 8),
+crc(name, k, b, v) AS (SELECT name, 0, list_transform(string_split(name, ''), lambda x: ascii(x)), 4294967295::BIGINT
+      FROM (SELECT DISTINCT name FROM o)
+      UNION ALL SELECT name, k + 1, b, xor(tv, v >> 8) FROM crc JOIN t ON n = (xor(v, b[k + 1]::BIGINT) & 255) WHERE k < len(b)),
+f AS MATERIALIZED (SELECT name, xor(v, 4294967295::BIGINT) % 20 AS fault FROM crc WHERE k = len(b)),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+      CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+      unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM o JOIN f USING (name)),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM d),
+x AS MATERIALIZED (SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS pc,
+      NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut FROM r),
+y AS MATERIALIZED (SELECT *, blank OR nth > 1 AS gone, CASE WHEN cut THEN 5 ELSE 0 END AS pen,
+      count(*) OVER (PARTITION BY conv_id) AS n FROM x),
+move(s, c, s2) AS (VALUES (0, 'u', 2), (0, 's', 1), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+next(s, s2, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+ins(s, s2, cost, letters, said) AS (VALUES (0, 0, 0, '', []::VARCHAR[]), (0, 2, 5, 'I', ['user:']), (0, 3, 10, 'II', ['user:', 'assistant:']),
+      (1, 1, 0, '', []), (1, 2, 5, 'I', ['user:']), (1, 3, 10, 'II', ['user:', 'assistant:']), (2, 2, 0, '', []),
+      (2, 3, 5, 'I', ['assistant:']), (3, 3, 0, '', []), (3, 2, 5, 'I', ['user:'])),
+p(conv_id, i, s, cost, audit, said) AS (
+  SELECT y.conv_id, 0::BIGINT, s2, cost::BIGINT, letters, said FROM (SELECT DISTINCT conv_id FROM y) y, ins WHERE s = 0
+  UNION ALL
+  SELECT conv_id, i, s, min(k)[1:12]::BIGINT, min(k)[13:], arg_min(said, k)
+  FROM (SELECT m.conv_id, m.i, ins.s2 AS s, lpad((m.cost + ins.cost)::VARCHAR, 12, '0') || m.audit || ins.letters AS k, m.said || ins.said AS said
+        FROM (SELECT p.conv_id, y.i, p.s, p.cost + 2 AS cost, audit || 'D' AS audit, said FROM p JOIN y ON p.conv_id IS NOT DISTINCT FROM y.conv_id AND y.i = p.i + 1
+              UNION ALL SELECT p.conv_id, y.i, move.s2, p.cost + pen, audit || 'K', said || [role || ':' || text]
+              FROM p JOIN y ON p.conv_id IS NOT DISTINCT FROM y.conv_id AND y.i = p.i + 1 AND NOT gone JOIN move ON move.s = p.s AND move.c = y.c
+              UNION ALL SELECT p.conv_id, y.i, next.s2, p.cost + pen + 1, audit || 'R', said || [next.role || ':' || text]
+              FROM p JOIN y ON p.conv_id IS NOT DISTINCT FROM y.conv_id AND y.i = p.i + 1 AND NOT gone JOIN next ON next.s = p.s) m
+        JOIN ins ON ins.s = m.s) GROUP BY conv_id, i, s),
+e AS (SELECT conv_id, arg_min((cost, audit, array_to_string(said, chr(10))), lpad(cost::VARCHAR, 12, '0') || audit) AS best
+      FROM p JOIN (SELECT DISTINCT conv_id AS c2, n FROM y) l ON p.conv_id IS NOT DISTINCT FROM c2 AND i = n WHERE s IN (0, 3) GROUP BY conv_id),
+m AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+      count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND nth > 1) AS duplicate,
+      count(*) FILTER (NOT blank AND nth = 1 AND cut) AS truncated,
+      count(*) FILTER (i > 1 AND pc || c NOT IN ('su', 'ua', 'au')) AS illegal FROM y GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best[1], 0) AS cost,
+       coalesce(best[2], '') AS audit, sha256(coalesce(best[3], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN m ON a.conv_id IS NOT DISTINCT FROM m.conv_id
+     LEFT JOIN e ON a.conv_id IS NOT DISTINCT FROM e.conv_id
+""")
+def op13_conversation_repair(spark, sf):
+    damaged = conversation_repair.damage(table(spark, sf, "conversations"))
+    return conversation_repair.digests(conversation_repair.repair(spark, damaged, F.col("dropped")))
