@@ -20,6 +20,7 @@ from minewright.llm import (
     jaccard_join,
     language_id,
     page_text,
+    secret_scan,
     substring_dedup,
     toxicity,
 )
@@ -273,3 +274,48 @@ FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN m ON a.conv_id IS
 def op13_conversation_repair(spark, sf):
     damaged = conversation_repair.damage(table(spark, sf, "conversations"))
     return conversation_repair.digests(conversation_repair.repair(spark, damaged, F.col("dropped")))
+
+
+def _secret_parts() -> str:
+    """SQL of the matches of every pattern, from left to right."""
+    counts = {
+        "assign": "length(regexp_extract(hit, '{}', 2)) >= 6",
+        "account": "length(regexp_extract(hit, '{}', 2)) >= 3",
+        "token": "regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[0-9]')",
+    }
+    parts = []
+    for number, (kind, pattern) in enumerate(secret_scan.PATTERNS.items()):
+        quoted = pattern.replace("'", "''")
+        parts.append(
+            f"SELECT r, {number} AS kind, i, length(hits[i]) AS size, length(gaps[i]) AS gap, hits[i] AS hit, "
+            f"{counts.get(kind, 'true').format(quoted).replace('hit', 'hits[i]')} AS counts "
+            f"FROM (SELECT r, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM "
+            f"(SELECT r, regexp_extract_all(text, '{quoted}') AS hits, regexp_split_to_array(text, '{quoted}') AS gaps FROM d))"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@_query(f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({_secret_parts()}),
+e AS (SELECT *, sum(gap + size) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM m),
+p AS (SELECT r, kind, stop - size AS start, stop FROM e WHERE counts),
+o AS (SELECT *, kind < 3 AS strong, sum((kind = 6)::INT) OVER (PARTITION BY r ORDER BY start, kind) AS scope,
+      max(CASE WHEN kind < 3 THEN stop END) OVER (PARTITION BY r ORDER BY start, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last,
+      min(CASE WHEN kind < 3 THEN start END) OVER (PARTITION BY r ORDER BY start, kind ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM p),
+q AS (SELECT * FROM o WHERE kind <> 6 AND (strong OR NOT (coalesce(last > start, false) OR coalesce(next < stop, false)))),
+l AS (SELECT a.*, EXISTS (SELECT 1 FROM q b WHERE b.r = a.r AND b.scope = a.scope AND abs(b.start - a.start) <= 200 AND b.kind IN (1, 4)) AS ids,
+      EXISTS (SELECT 1 FROM q b WHERE b.r = a.r AND b.scope = a.scope AND abs(b.start - a.start) <= 200 AND b.kind IN (0, 2, 3)) AS secrets FROM q a),
+w AS (SELECT *, CASE kind WHEN 3 THEN ids WHEN 4 THEN secrets WHEN 5 THEN ids AND secrets ELSE true END AS reported,
+      ['assign', 'access', 'hex', 'token', 'account', 'endpoint'][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS name FROM l),
+g AS (SELECT r, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c,
+      count(*) FILTER (reported AND NOT strong) AS n_linked, string_agg(name, ',' ORDER BY start, kind) FILTER (strong) AS base,
+      string_agg(name, ',' ORDER BY start, kind) FILTER (reported) AS spans FROM w GROUP BY r)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, coalesce(n_linked, 0) AS n_linked,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (r)
+""")
+def op11_secret_scan(spark, sf):
+    found = secret_scan.scan(table(spark, sf, "documents"))
+    base = F.sha2(secret_scan.written(F.col("base_spans")).cast("binary"), 256)
+    counts = ["doc_id", "n_assign", "n_access", "n_hex", "n_linked"]
+    return found.select(*counts, base.alias("base_sha256"), secret_scan.written(F.col("spans")).alias("spans"))
