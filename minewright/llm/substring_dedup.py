@@ -16,6 +16,7 @@ A passage that a third of all documents share gives one message entry a block. W
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from functools import partial
 
@@ -28,6 +29,7 @@ from minewright.llm.wordhash import Words, inside, ngrams, text_of_position, wor
 
 WINDOW = 13
 ANCHOR = 7
+OUT_ROWS = 500
 _MASK = np.uint64((1 << 48) - 1)
 
 
@@ -132,26 +134,37 @@ def _cut(payload: bytes, anchors: dict[int, bytes], windows: dict[int, bytes], *
     edges[: len(words.hashes)] = np.bincount(spots[dup], minlength=len(words.hashes))[: len(words.hashes)]
     edges[window:] -= edges[: len(edges) - window].copy() if len(edges) > window else 0
     gone = np.cumsum(edges)[:-1] > 0
-    raw, starts, ends, bounds = words.data.tobytes(), words.starts.tolist(), words.ends.tolist(), words.bounds.tolist()
-    kept, removed = [], []
-    for low, high in zip(bounds, bounds[1:], strict=False):
-        left = [i + low for i in np.flatnonzero(~gone[low:high]).tolist()]
-        kept.append(b" ".join([raw[starts[i] : ends[i]] for i in left]))
-        removed.append(high - low - len(left))
-    columns = {
-        "doc_id": table.column("doc_id").cast(pa.int64()),
-        "n_words": pa.array(np.diff(words.bounds), pa.int64()),
-        "n_removed": pa.array(removed, pa.int64()),
-    }
-    if keep_text:
-        for name in table.column_names:
-            if name not in ("doc_id", "text"):
-                columns["_" + name] = table.column(name)
-        was = table.column("text").to_pylist()
-        columns["_text"] = pa.array([w if not r else k.decode() for w, r, k in zip(was, removed, kept, strict=True)], pa.string())
-    else:
-        columns["kept_sha256"] = pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())
-    yield from pa.table(columns).combine_chunks().to_batches()
+    del edges, spots, docs, which, texts, first, dup
+    bounds = words.bounds.tolist()
+    # Rows leave in parts: word positions of one text at a time, and never all rebuilt texts of the block.
+    for first_row in range(0, table.num_rows, OUT_ROWS):
+        part = table.slice(first_row, OUT_ROWS)
+        to = first_row + part.num_rows
+        kept, removed = [], []
+        for low, high in itertools.pairwise(bounds[first_row : to + 1]):
+            left = np.flatnonzero(~gone[low:high]) + low
+            removed.append(high - low - len(left))
+            if keep_text and not removed[-1]:
+                kept.append(None)
+                continue
+            base = int(words.starts[low]) if high > low else 0
+            raw = words.data[base : int(words.ends[high - 1])].tobytes() if high > low else b""
+            starts, ends = (words.starts[left] - base).tolist(), (words.ends[left] - base).tolist()
+            kept.append(b" ".join([raw[i:j] for i, j in zip(starts, ends, strict=True)]))
+        columns = {
+            "doc_id": part.column("doc_id").cast(pa.int64()),
+            "n_words": pa.array(np.diff(words.bounds[first_row : to + 1]), pa.int64()),
+            "n_removed": pa.array(removed, pa.int64()),
+        }
+        if keep_text:
+            for name in table.column_names:
+                if name not in ("doc_id", "text"):
+                    columns["_" + name] = part.column(name)
+            was = part.column("text").to_pylist()
+            columns["_text"] = pa.array([w if k is None else k.decode() for w, k in zip(was, kept, strict=True)], pa.string())
+        else:
+            columns["kept_sha256"] = pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())
+        yield from pa.table(columns).combine_chunks().to_batches()
 
 
 def dedup_substrings(
@@ -159,7 +172,7 @@ def dedup_substrings(
 ) -> DataFrame:
     """Remove every word covered by a ``window``-word sequence that also starts in a document of smaller ``doc_id``.
 
-    Returns (doc_id, n_words, n_removed, kept_sha256); with ``keep``, the names of further columns, the cut text as
+    ``doc_id`` is a whole number. Returns (doc_id, n_words, n_removed, kept_sha256); with ``keep``, the names of further columns, the cut text as
     ``_text`` and the columns with a leading underscore in place of the digest. A text that loses nothing stays as it is
     there; otherwise its kept words are joined by one space.
 
