@@ -81,6 +81,46 @@ def knn_topk(spark, sf):
     return near.select("query_id", "base_id", F.round(F.sqrt("dist2"), 6).alias("dist"), "rank")
 
 
+SMALL_BLOCK = 64
+RECALL = 0.9
+
+
+@query(f"""
+WITH {_V}, {_NEAR} SELECT query_id, base_id, round(d, 6) AS dist, rank FROM near WHERE rank <= {K}
+""")
+def knn_topk_blocks(spark, sf):
+    """The same neighbours with blocks so small that cells, block pairs and their ranking all take part."""
+    vectors = all_vectors(spark, sf)
+    near = ops.knn(vectors, vectors, K, exclude_self=True, block_rows=SMALL_BLOCK)
+    return near.select("query_id", "base_id", F.round(F.sqrt("dist2"), 6).alias("dist"), "rank")
+
+
+@query()
+def knn_indexed(spark, sf):
+    """Neighbours through the index, with as many probes as the sampled recall asks for."""
+    vectors = all_vectors(spark, sf)
+    index = ops.build_index(vectors, K, SMALL_BLOCK)
+    probes = ops.tune_probes(vectors, vectors, index, K, RECALL, exclude_self=True)
+    near = ops.knn_indexed(vectors, index, K, probes, exclude_self=True)
+    return near.select("query_id", "base_id", F.round(F.sqrt("dist2"), 6).alias("dist"), "rank")
+
+
+@query(f"""
+WITH {_V}, {_NEAR} SELECT count(DISTINCT query_id) AS queries, count(*) AS neighbours, true AS enough FROM near WHERE rank <= {K}
+""")
+def knn_index_recall(spark, sf):
+    """Whether the index finds its share of all true neighbours, over all queries and not a sample."""
+    vectors = all_vectors(spark, sf)
+    true = ops.knn(vectors, vectors, K, exclude_self=True).select("query_id", "base_id")
+    got = knn_indexed(spark, sf).select("query_id", "base_id", F.lit(1).alias("hit"))
+    found = true.join(got, ["query_id", "base_id"], "left")
+    share = F.avg(F.coalesce("hit", F.lit(0)))
+    # The probes were chosen on a sample of queries, so the whole may fall short by the sample's error.
+    return found.agg(
+        F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("neighbours"), (share >= RECALL - 0.03).alias("enough")
+    )
+
+
 _PREDICT = f"""
 near AS (
   SELECT a.id, b.label, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.f, b.f), b.id) AS rank

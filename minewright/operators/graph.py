@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minewright.operators.vectors import knn
+from minewright.operators.vectors import NeighbourIndex, knn, knn_indexed
 from minewright.plans.lineage import cut_lineage, release
 from minewright.plans.spread import ROWS_PER_TASK, spread_join
 
@@ -17,9 +17,17 @@ def undirected(edges: DataFrame) -> DataFrame:
     return both.groupBy("src", "dst").agg(F.min("w").alias("w"))
 
 
-def ranked_edges(vectors: DataFrame, k: int, **options) -> DataFrame:
-    """``(src, dst, w, rank)``: each vector's ``k`` nearest others with their Euclidean distance."""
-    near = knn(vectors, vectors, k, exclude_self=True, **options)
+def ranked_edges(
+    vectors: DataFrame, k: int, index: NeighbourIndex | None = None, probes: int = 8, **options
+) -> DataFrame:
+    """``(src, dst, w, rank)``: each vector's ``k`` nearest others with their Euclidean distance.
+
+    With an ``index`` of the vectors the neighbours are those that it finds.
+    """
+    if index is None:
+        near = knn(vectors, vectors, k, exclude_self=True, **options)
+    else:
+        near = knn_indexed(vectors, index, k, probes, exclude_self=True, **options)
     return near.select(
         F.col("query_id").alias("src"), F.col("base_id").alias("dst"), F.sqrt("dist2").alias("w"), "rank"
     )

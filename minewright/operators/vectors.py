@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from minewright.functions.vectors import as_doubles, constant_vector, distance, dot
+from minewright.plans.lineage import cut_lineage, release
 
 # Rows of one packed block; a block of 64 doubles a row is then about 1 MB.
 BLOCK_ROWS = 2048
@@ -271,9 +272,194 @@ def _block_neighbours(k: int, exclude_self: bool):
     return run
 
 
-def knn_classify(query: DataFrame, train: DataFrame, k: int, **options) -> DataFrame:
-    """``(id, predicted)``: majority label of the ``k`` nearest; ties go to the label seen first by rank."""
-    neighbours = knn(query, train, k, **options)
+# ---- approximate neighbours through an index ------------------------------------------------------------------------
+
+# Cells of an index, hence rows of the pivot table that each task holds: 8 MB at 64 dimensions.
+MAX_INDEX_CELLS = 16_384
+# Upper pivots whose cells a vector is compared with.
+BEAM = 4
+# Query blocks that one copy of a base block serves before it is copied.
+BLOCKS_PER_COPY = 64
+
+
+@dataclass(frozen=True)
+class PivotTree:
+    """Two levels of pivots: every cell pivot hangs below its nearest upper pivot."""
+
+    pivots: np.ndarray
+    tops: np.ndarray
+    members: list[np.ndarray]
+
+    @staticmethod
+    def grown(pivots: np.ndarray) -> PivotTree:
+        tops = pivots[: max(1, int(np.ceil(np.sqrt(len(pivots)))))]
+        owner = _squared_distances(pivots, tops).argmin(1)
+        return PivotTree(pivots, tops, [np.flatnonzero(owner == t) for t in range(len(tops))])
+
+    def nearest(self, points: np.ndarray, count: int, beam: int = BEAM) -> np.ndarray:
+        """The ``count`` nearest cells of each point below its ``beam`` nearest upper pivots, -1 where there are fewer."""
+        beam = min(beam, len(self.tops))
+        away = _squared_distances(points, self.tops)
+        chosen = np.argpartition(away, beam - 1, axis=1)[:, :beam]
+        best, cells = np.full((len(points), count), np.inf), np.full((len(points), count), -1)
+        for top in np.unique(chosen).tolist():
+            rows, below = np.flatnonzero((chosen == top).any(1)), self.members[top]
+            met = np.concatenate([best[rows], _squared_distances(points[rows], self.pivots[below])], 1)
+            names = np.concatenate([cells[rows], np.broadcast_to(below, (len(rows), len(below)))], 1)
+            order = np.argsort(met, axis=1, kind="stable")[:, :count]
+            best[rows], cells[rows] = np.take_along_axis(met, order, 1), np.take_along_axis(names, order, 1)
+        return cells
+
+
+@dataclass(frozen=True)
+class NeighbourIndex:
+    """A base cut into cells around the pivots of a tree and cells into blocks, written as a table.
+
+    ``blocks`` has (cell, block, ids, points) and ``sizes`` (cell, base_blocks); equal vectors are held by their smallest
+    ids, as many as ``most`` neighbours can need.
+    """
+
+    tree: PivotTree
+    blocks: DataFrame
+    sizes: DataFrame
+    most: int
+
+
+def build_index(base: DataFrame, most: int = 100, block_rows: int = BLOCK_ROWS, max_cells: int = MAX_INDEX_CELLS) -> NeighbourIndex:
+    """Index every base vector for searches of up to ``most`` neighbours.
+
+    Of vectors that are equal in all dimensions only the ``most`` + 1 smallest ids can be among the nearest, so the others
+    are left out of the blocks before the shuffle: a vector that a third of all rows repeat is no crowded cell.
+    """
+    copies = Window.partitionBy("features").orderBy("id")
+    base = base.select("id", "features", F.row_number().over(copies).alias("_copy")).filter(F.col("_copy") <= most + 1)
+    base = cut_lineage(base.select("id", "features"))
+    n_base = base.count()
+    tree = PivotTree.grown(_pick_pivots(base, max(1, min(max_cells, -(-n_base // block_rows))))) if n_base else None
+    id_type = base.schema["id"].dataType.simpleString()
+    if tree is None:
+        spark = base.sparkSession
+        blocks = spark.createDataFrame([], f"cell int, block int, ids array<{id_type}>, points array<double>")
+        return NeighbourIndex(PivotTree(np.zeros((0, 0)), np.zeros((0, 0)), []), blocks, blocks.select("cell", "block"), most)
+    assigned = _in_cells(base, tree, 1)
+    counts = assigned.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("base_blocks"))
+    sizes = cut_lineage(counts)
+    blocks = (
+        assigned.join(F.broadcast(sizes), "cell")
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("base_blocks")).cast("int"))
+        .groupBy("cell", "block")
+        .agg(F.collect_list("id").alias("ids"), F.flatten(F.collect_list("features")).alias("points"))
+    )
+    written = cut_lineage(blocks)
+    release(base)
+    return NeighbourIndex(tree, written, sizes, most)
+
+
+def release_index(index: NeighbourIndex) -> None:
+    """Delete the tables of an index that will not be read again."""
+    release(index.blocks)
+    release(index.sizes)
+
+
+def _in_cells(vectors: DataFrame, tree: PivotTree, count: int) -> DataFrame:
+    """(id, features, cell): every vector once for each of its ``count`` nearest cells."""
+    shared = vectors.sparkSession.sparkContext.broadcast(tree)
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                cells = shared.value.nearest(_stack(batch["features"]), count, max(BEAM, count))
+                rows, column = np.nonzero(cells >= 0)
+                yield batch.iloc[rows].assign(cell=cells[rows, column].astype("int32"))
+
+    id_type = vectors.schema["id"].dataType.simpleString()
+    return vectors.select("id", "features").mapInPandas(assign, f"id {id_type}, features array<double>, cell int")
+
+
+def knn_indexed(
+    query: DataFrame, index: NeighbourIndex, k: int, probes: int = 8, exclude_self: bool = False, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """``(query_id, base_id, dist2, rank)``: the ``k`` nearest among the vectors of each query's ``probes`` nearest cells.
+
+    Distances are exact, the candidates are not all: ``index_recall`` says how many of the true neighbours are found and
+    ``tune_probes`` chooses ``probes`` by it. A query block meets ``probes`` cells at most, so work grows with the
+    queries and not with their product with the base. Ties go to the smaller id.
+    """
+    if k > index.most:
+        raise ValueError(f"the index serves up to {index.most} neighbours")
+    query = query.select("id", "features")
+    schema = (
+        f"query_id {query.schema['id'].dataType.simpleString()}, "
+        f"base_id {index.blocks.schema['ids'].dataType.elementType.simpleString()}, dist2 double"
+    )
+    if not len(index.tree.pivots):
+        return query.sparkSession.createDataFrame([], schema + ", rank int")
+    found = block_pairs(query, index, probes, block_rows).mapInPandas(_block_neighbours(k + int(exclude_self), exclude_self), schema)
+    order = Window.partitionBy("query_id").orderBy("dist2", "base_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def block_pairs(query: DataFrame, index: NeighbourIndex, probes: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Blocks of queries beside the base blocks of the cells that they probe; blocks of a sought cell are copied."""
+    asked = _in_cells(query, index.tree, min(probes, len(index.tree.pivots)))
+    # One row a cell, so at most MAX_INDEX_CELLS.
+    plan = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("query_blocks"))
+    plan = cut_lineage(plan.join(F.broadcast(index.sizes), "cell"))
+    copies = F.ceil(F.col("query_blocks") / F.lit(BLOCKS_PER_COPY)).cast("int")
+    asking = (
+        asked.join(F.broadcast(plan), "cell")
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("query_blocks")).cast("int"))
+        .groupBy("cell", "block", "base_blocks", "query_blocks")
+        .agg(F.collect_list("id").alias("ids"), F.flatten(F.collect_list("features")).alias("points"))
+        .withColumn("base_block", F.explode(F.sequence(F.lit(0), F.col("base_blocks") - 1)))
+        .withColumn("copy", F.pmod(F.xxhash64("cell", "block"), copies).cast("int"))
+        .drop("block", "base_blocks", "query_blocks")
+    )
+    offered = index.blocks.join(F.broadcast(plan), "cell").select(
+        "cell",
+        F.col("block").alias("base_block"),
+        F.col("ids").alias("base_ids"),
+        F.col("points").alias("base_points"),
+        F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"),
+    )
+    return asking.join(offered, ["cell", "base_block", "copy"]).select("ids", "points", "base_ids", "base_points")
+
+
+def index_recall(
+    query: DataFrame, base: DataFrame, index: NeighbourIndex, k: int, probes: int, exclude_self: bool = False, sample_rows: int = 200
+) -> DataFrame:
+    """One row ``(queries, probes, recall)``: the share of true neighbours that the index finds for a sample of queries.
+
+    The sample is the ``sample_rows`` queries of the smallest id hashes; they are compared with the whole base.
+    """
+    sample = cut_lineage(query.select("id", "features").orderBy(F.xxhash64("id"), "id").limit(sample_rows))
+    true = knn(sample, base, k, exclude_self).select("query_id", "base_id")
+    got = knn_indexed(sample, index, k, probes, exclude_self).select("query_id", "base_id", F.lit(1).alias("_hit"))
+    share = F.coalesce(F.avg(F.coalesce("_hit", F.lit(0))), F.lit(1.0))
+    hits = true.join(got, ["query_id", "base_id"], "left")
+    return hits.agg(F.count_distinct("query_id").alias("queries"), F.lit(probes).alias("probes"), share.alias("recall"))
+
+
+def tune_probes(
+    query: DataFrame, base: DataFrame, index: NeighbourIndex, k: int, target: float = 0.9, exclude_self: bool = False, **options
+) -> int:
+    """The first of 1, 2, 4, ... probes whose sampled recall reaches ``target``; all cells are an exact search."""
+    probes, cells = 1, max(1, len(index.tree.pivots))
+    while probes < cells:
+        if index_recall(query, base, index, k, probes, exclude_self, **options).first()["recall"] >= target:
+            return probes
+        probes *= 2
+    return cells
+
+
+def knn_classify(
+    query: DataFrame, train: DataFrame, k: int, index: NeighbourIndex | None = None, probes: int = 8, **options
+) -> DataFrame:
+    """``(id, predicted)``: majority label of the ``k`` nearest; ties go to the label seen first by rank.
+
+    With an ``index`` of the training vectors the neighbours are those that it finds.
+    """
+    neighbours = knn_indexed(query, index, k, probes, **options) if index else knn(query, train, k, **options)
     labelled = neighbours.join(train.select(F.col("id").alias("base_id"), "label"), "base_id")
     votes = labelled.groupBy("query_id", "label").agg(
         F.count(F.lit(1)).alias("_votes"), F.min("rank").alias("_first")

@@ -46,6 +46,54 @@ def test_knn_with_fewer_base_rows_than_k(spark):
     assert got.count() == 9
 
 
+def test_index_with_all_probes_is_exact(spark, crowded):
+    vectors = frame(spark, crowded)
+    index = ops.build_index(vectors, most=4, block_rows=16)
+    for exclude_self in (True, False):
+        got = ops.knn_indexed(vectors, index, 4, len(index.tree.pivots), exclude_self, block_rows=16)
+        assert rows(got, "query_id", "base_id", "rank") == exact(crowded, crowded, 4, exclude_self)
+    with pytest.raises(ValueError):
+        ops.knn_indexed(vectors, index, 5)
+
+
+def test_index_drops_only_copies_that_cannot_be_near(spark, crowded):
+    index = ops.build_index(frame(spark, crowded), most=4, block_rows=16)
+    held = index.blocks.select(F.explode("ids").alias("id")).count()
+    assert held == len(crowded) - (len(crowded) // 3 - 5)
+
+
+def test_index_recall_is_tuned_and_block_pairs_are_linear(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 8)) * 3
+    points = centres[rng.integers(0, 40, 3200)] + rng.normal(size=(3200, 8)) * 0.5
+    pairs = {}
+    for n in (800, 3200):
+        vectors = frame(spark, points[:n]).cache()
+        index = ops.build_index(vectors, most=5, block_rows=32)
+        probes = ops.tune_probes(vectors, vectors, index, 5, 0.9, exclude_self=True, sample_rows=60)
+        seen = ops.index_recall(vectors, vectors, index, 5, probes, exclude_self=True, sample_rows=120).first()
+        assert seen["queries"] == 120 and seen["recall"] >= 0.85
+        pairs[n] = ops.block_pairs(vectors, index, 4, 32).count()
+        blocks = index.blocks.count()
+        assert pairs[n] <= 4 * blocks * 4
+        ops.release_index(index)
+    assert pairs[3200] <= 6 * pairs[800]
+
+
+def test_index_of_nothing(spark, crowded):
+    empty = frame(spark, crowded).limit(0)
+    assert ops.knn_indexed(frame(spark, crowded[:3]), ops.build_index(empty, 3), 2).count() == 0
+    assert ops.knn_indexed(empty, ops.build_index(frame(spark, crowded), 3), 2).count() == 0
+
+
+def test_graph_and_vote_through_an_index(spark, crowded):
+    vectors = frame(spark, crowded, np.arange(len(crowded)) % 2)
+    index = ops.build_index(vectors, most=6, block_rows=16)
+    every = len(index.tree.pivots)
+    assert rows(graph.ranked_edges(vectors, 3, index, every), "src", "dst", "rank") == rows(graph.ranked_edges(vectors, 3), "src", "dst", "rank")
+    assert rows(ops.knn_classify(vectors, vectors, 5, index, every), "id", "predicted") == rows(ops.knn_classify(vectors, vectors, 5), "id", "predicted")
+
+
 def test_tie_goes_to_smaller_id_and_vote_to_first_seen(spark):
     train = frame(spark, [[1.0], [-1.0], [3.0], [-3.0]], [7, 8, 8, 7])
     query = frame(spark, [[0.0]])
