@@ -115,15 +115,17 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_
         yield pa.Table.from_batches(kept)
 
 
-def make_blocks(docs: DataFrame, pack: Callable[[pa.Table], bytes], column: str = "text", spread: bool = True) -> DataFrame:
-    """Documents as blocks: (block, payload of ``pack``), hashed by block unless ``spread`` is off.
+def make_blocks(
+    docs: DataFrame, pack: Callable[[pa.Table], bytes], column: str = "text", spread: bool = True, limit: int = BLOCK_BYTES
+) -> DataFrame:
+    """Documents as blocks: (block, payload of ``pack``) of about ``limit`` bytes, hashed by block unless ``spread`` is off.
 
     Block ids name the scan's partition and the place in it, so a task that runs again makes the same blocks.
     """
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
-        for i, table in enumerate(gathered(batches, column)):
+        for i, table in enumerate(gathered(batches, column, limit)):
             yield pa.RecordBatch.from_pydict(
                 {"block": pa.array([first + i], pa.int64()), "payload": pa.array([pack(table)], pa.binary())}
             )

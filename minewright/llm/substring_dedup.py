@@ -30,6 +30,8 @@ from minewright.llm.wordhash import Words, inside, ngrams, text_of_position, wor
 WINDOW = 13
 ANCHOR = 7
 OUT_ROWS = 500
+# Half of what others take: word and n-gram arrays of a whole block are held beside the texts.
+BLOCK_BYTES = 4 << 20
 _MASK = np.uint64((1 << 48) - 1)
 
 
@@ -185,7 +187,7 @@ def dedup_substrings(
     rows = docs.select("doc_id", "text", *(c for c in keep or () if c not in ("doc_id", "text")))
     buckets = B.partitions_for(docs, B.SCAN_BYTES_PER_BUCKET)
     how = {"buckets": buckets, "window": window, "anchor": anchor}
-    blocks = B.make_blocks(rows, B.pack_texts)
+    blocks = B.make_blocks(rows, B.pack_texts, limit=BLOCK_BYTES)
     shared = B.answer(B.ask(blocks, partial(_ask_anchors, **how)), _reply_anchors)
     marked = B.with_answers(blocks, shared, "anchors")
     earlier = B.answer(B.ask(marked, partial(_ask_windows, **how)), _reply_windows)
