@@ -207,26 +207,21 @@ def min_count_vocab(spark, sf):
 
 
 @query(f"""
-WITH lines AS (
-  SELECT {_LIST}[vec_id % 16 + 1] AS tag, vec_id, embedding FROM embeddings),
-last AS (SELECT tag AS word, max_by(embedding, vec_id) AS vec FROM lines GROUP BY tag),
-t AS (SELECT DISTINCT tag AS word FROM (SELECT {_LIST}[(doc_id * 3) % 16 + 1] || CASE WHEN doc_id % 5 = 0 THEN '?' ELSE '' END AS tag FROM documents))
+WITH {_TOK},
+lines AS (SELECT word, vec_id, embedding FROM embeddings JOIN tok ON sent_id = vec_id AND pos = 0),
+last AS (SELECT word, max_by(embedding, vec_id) AS vec FROM lines GROUP BY word),
+t AS (SELECT DISTINCT word FROM tok)
 SELECT t.word, round(coalesce(list_sum(vec::DOUBLE[]), 0), 6) AS total, coalesce(len(vec), 64)::BIGINT AS dim,
   vec IS NOT NULL AS found
 FROM t LEFT JOIN last USING (word)
 """)
 def embedding_lookup(spark, sf):
-    cycle = F.array(*[F.lit(t) for t in TAG_CYCLE])
-    vectors = table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("line_no"),
-        F.get(cycle, F.pmod("vec_id", F.lit(16)).cast("int")).alias("word"),
-        F.col("embedding").alias("vec"),
-    )
-    suffix = F.when(F.col("doc_id") % 5 == 0, F.lit("?")).otherwise(F.lit(""))
-    wanted = documents(spark, sf).select(
-        F.concat(F.get(cycle, F.pmod(F.col("doc_id") * 3, F.lit(16)).cast("int")), suffix).alias("word")
-    )
-    vocab = corpus.number_vocab(wanted)
+    """Vectors for all words of the texts; a line's word is the first one of the document of its number."""
+    words = words_only(spark, sf)
+    firsts = words.select(F.col("sent_id").alias("line_no"), F.get("words", F.lit(0)).alias("word")).filter("word is not null")
+    lines = table(spark, sf, "embeddings").select(F.col("vec_id").alias("line_no"), F.col("embedding").alias("vec"))
+    vectors = lines.join(firsts, "line_no")
+    vocab = corpus.number_vocab(corpus.word_rows(words).select("word"))
     total = F.aggregate(F.col("vec").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
     return corpus.trim_embeddings(vocab, vectors, 64).select(
         "word", F.round(total, 6).alias("total"), F.size("vec").cast("bigint").alias("dim"), "found"
@@ -251,7 +246,7 @@ def random_embeddings(spark, sf):
 
 def _encoded(spark: SparkSession, sf: str) -> DataFrame:
     vocab = corpus.min_count_vocab(words_only(spark, sf), MIN_COUNT)
-    rows = corpus.word_rows(words_only(spark, sf)).withColumn("word", normalize_mixed_word(F.col("word")))
+    rows = corpus.every_word_rows(words_only(spark, sf)).withColumn("word", normalize_mixed_word(F.col("word")))
     return corpus.encode_words(rows, vocab)
 
 
@@ -262,7 +257,8 @@ _ENCODED = """encoded AS (
 
 @query(f"""
 WITH {_TOK}, {_MIN_COUNT_VOCAB}, {_ENCODED}
-SELECT sent_id, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS ids FROM encoded GROUP BY sent_id
+SELECT doc_id AS sent_id, coalesce(string_agg(id::VARCHAR, ' ' ORDER BY pos), '') AS ids
+FROM documents LEFT JOIN encoded ON sent_id = doc_id GROUP BY doc_id
 """)
 def encoded_tokens(spark, sf):
     ids = corpus.gather_tokens(_encoded(spark, sf), "id", "ids")
@@ -272,12 +268,13 @@ def encoded_tokens(spark, sf):
 @query(f"""
 WITH {_TAGGED},
 t AS (SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS id FROM (SELECT DISTINCT tag FROM tagged))
-SELECT sent_id, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS ids FROM tagged JOIN t USING (tag) GROUP BY sent_id
+SELECT doc_id AS sent_id, coalesce(string_agg(id::VARCHAR, ' ' ORDER BY pos), '') AS ids
+FROM documents LEFT JOIN (tagged JOIN t USING (tag)) ON sent_id = doc_id GROUP BY doc_id
 """)
 def encoded_tags(spark, sf):
     both = sentences(spark, sf)
     tags = corpus.number_vocab(corpus.vocabs([both])[1], "tag")
-    rows = both.select("sent_id", F.posexplode("tags").alias("pos", "tag"))
+    rows = both.select("sent_id", F.posexplode_outer("tags").alias("pos", "tag"))
     encoded, _ = corpus.encode_tags(rows, tags)
     ids = corpus.gather_tokens(encoded, "tag_id", "ids")
     return ids.select("sent_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
@@ -322,7 +319,8 @@ def shuffled_batches(spark, sf):
 
 @query(f"""
 WITH {_TOK}, {_MIN_COUNT_VOCAB}, {_ENCODED},
-s AS (SELECT sent_id, list(id ORDER BY pos) AS ids FROM encoded GROUP BY sent_id),
+s AS (SELECT doc_id AS sent_id, coalesce(list(id ORDER BY pos) FILTER (id IS NOT NULL), []) AS ids
+      FROM documents LEFT JOIN encoded ON sent_id = doc_id GROUP BY doc_id),
 b AS (SELECT *, (row_number() OVER (ORDER BY sent_id) - 1) // {BATCH} AS batch FROM s),
 m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS longest FROM b)
 SELECT sent_id, batch, len(ids)::BIGINT AS length,
@@ -341,19 +339,20 @@ def padded_batches(spark, sf):
 
 @query(f"""
 WITH {_TOK}, {_CHARS},
-s AS (SELECT sent_id, list(ids ORDER BY pos) AS ids, max(len(ids)) AS w, count(*) AS n FROM tok JOIN ws USING (word)
-      GROUP BY sent_id),
+s AS (SELECT doc_id AS sent_id, coalesce(list(ids ORDER BY pos) FILTER (ids IS NOT NULL), []) AS ids,
+      coalesce(max(len(ids)), 0) AS w, count(ids) AS n FROM documents LEFT JOIN (tok JOIN ws USING (word)) ON sent_id = doc_id
+      GROUP BY doc_id),
 b AS (SELECT *, (row_number() OVER (ORDER BY sent_id) - 1) // {BATCH} AS batch FROM s),
 m AS (SELECT *, max(w) OVER (PARTITION BY batch) AS lw, max(n) OVER (PARTITION BY batch) AS ln FROM b)
 SELECT sent_id, batch, ln::BIGINT AS sentence_size, lw::BIGINT AS word_size,
-  list_sum(list_transform(ids, lambda x: len(x)))::BIGINT AS length_total,
+  coalesce(list_sum(list_transform(ids, lambda x: len(x))), 0)::BIGINT AS length_total,
   md5(array_to_string(list_concat(
     list_transform(ids, lambda x: array_to_string(list_concat(x, list_transform(range(0, lw - len(x)), lambda y: -1::BIGINT)), ' ')),
     list_transform(range(0, ln - n), lambda z: array_to_string(list_transform(range(0, lw), lambda y: -1::BIGINT), ' '))), '/')) AS digest
 FROM m
 """)
 def padded_chars(spark, sf):
-    rows = corpus.encode_chars(corpus.word_rows(words_only(spark, sf)), _chars(spark, sf))
+    rows = corpus.encode_chars(corpus.every_word_rows(words_only(spark, sf)), _chars(spark, sf))
     batched = corpus.batch_ids(corpus.gather_tokens(rows, "char_ids", "char_ids"), BATCH)
     padded = corpus.pad_nested(batched, pad=-1)
     text = F.array_join(F.transform("char_ids", lambda w: F.array_join(w.cast("array<string>"), " ")), "/")
@@ -361,7 +360,7 @@ def padded_chars(spark, sf):
         "sent_id",
         "batch",
         F.size("char_ids").cast("bigint").alias("sentence_size"),
-        F.size(F.col("char_ids")[0]).cast("bigint").alias("word_size"),
+        F.coalesce(F.array_max(F.transform("char_ids", lambda w: F.size(w))), F.lit(0)).cast("bigint").alias("word_size"),
         F.aggregate("lengths", F.lit(0), lambda a, x: a + x).cast("bigint").alias("length_total"),
         F.md5(text).alias("digest"),
     )
@@ -474,7 +473,7 @@ def _scored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Token rows with emission scores learned from the gold tags, and the sentences."""
     both = sentences(spark, sf)
     emissions = tagging.emission_scores(tagging.emission_counts(both), TAG_LIST)
-    return tagging.score_tokens(corpus.word_rows(both.select("sent_id", "words")), emissions, TAG_LIST), both
+    return tagging.score_tokens(corpus.every_word_rows(both.select("sent_id", "words")), emissions, TAG_LIST), both
 
 
 @query(f"""
@@ -489,7 +488,7 @@ SELECT t.sent_id, t.pos, r.tag FROM tagged t JOIN r ON r.word = t.word AND r.k =
 """)
 def argmax_tags(spark, sf):
     scored, _ = _scored(spark, sf)
-    rounded = scored.withColumn("scores", F.transform("scores", lambda s: F.round(s, 9)))
+    rounded = scored.filter(F.col("pos").isNotNull()).withColumn("scores", F.transform("scores", lambda s: F.round(s, 9)))
     return tagging.argmax_tags(rounded, TAG_LIST).select("sent_id", "pos", "tag")
 
 

@@ -30,6 +30,16 @@ def word_rows(sentences: DataFrame, *others: str) -> DataFrame:
     return sentences.select("sent_id", *others, F.posexplode("words").alias("pos", "word"))
 
 
+def every_word_rows(sentences: DataFrame) -> DataFrame:
+    """``(sent_id, pos, word)`` of every token, and one row with a null ``pos`` and no word of each sentence without any.
+
+    Encoding passes such rows through and ``gather_tokens`` makes empty arrays of them, so no sentence gets lost and
+    batches count all of them. The word is empty and not null: a key of many rows that joins can split.
+    """
+    rows = sentences.select("sent_id", F.posexplode_outer("words").alias("pos", "word"))
+    return rows.withColumn("word", F.coalesce("word", F.lit("")))
+
+
 # ---- vocabularies ---------------------------------------------------------------------------------------------------
 
 
@@ -111,15 +121,18 @@ def encode_words(rows: DataFrame, vocab: DataFrame, unk: str | None = UNK_TOKEN)
     joined = spread_join(rows, vocab.select("word", "id"), "word", "left", spread_by=spread)
     if unk is None:
         missing = F.raise_error(F.concat(F.lit("word not in the vocabulary: "), F.col("word"))).cast("bigint")
-        return joined.withColumn("id", F.when(F.col("id").isNotNull(), F.col("id")).otherwise(missing))
+        known = F.col("id").isNotNull() | (F.col("word") == "")  # an empty word stands for a sentence without tokens
+        return joined.withColumn("id", F.when(known, F.col("id")).otherwise(missing))
     unk_id = vocab.filter(F.col("word") == unk).agg(F.max("id")).scalar()
     return joined.withColumn("id", F.coalesce("id", unk_id))
 
 
 def encode_tags(rows: DataFrame, tags: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``tag_id``, and those whose tag is not listed."""
-    listed = F.broadcast(tags.select("tag", F.col("id").alias("tag_id")))
-    return rows.join(listed, "tag"), rows.join(listed, "tag", "left_anti")
+    """Rows with ``tag_id``, and those whose tag is not listed; rows of sentences without tokens (null tag) stay."""
+    listed = tags.select("tag", F.col("id").alias("tag_id"))
+    joined = spread_join(rows, listed, "tag", "left", spread_by=[c for c in rows.columns if c != "tag"] or ["tag"])
+    known = F.col("tag_id").isNotNull()
+    return joined.filter(known | F.col("tag").isNull()), joined.filter(~known & F.col("tag").isNotNull()).drop("tag_id")
 
 
 def encode_chars(rows: DataFrame, chars: DataFrame) -> DataFrame:
@@ -137,8 +150,8 @@ def encode_chars(rows: DataFrame, chars: DataFrame) -> DataFrame:
 
 
 def gather_tokens(rows: DataFrame, column: str, name: str) -> DataFrame:
-    """``(sent_id, name)``: a column of the token rows as one array a sentence, in order."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", column)))
+    """``(sent_id, name)``: a column of the token rows as one array a sentence, in order; rows without ``pos`` add nothing."""
+    ordered = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", column))))
     return rows.groupBy("sent_id").agg(ordered.alias("_t")).select("sent_id", F.col(f"_t.{column}").alias(name))
 
 

@@ -228,8 +228,11 @@ def argmax_tags(scored: DataFrame, tags: Sequence[str]) -> DataFrame:
 
 
 def viterbi_decode(scored: DataFrame, transitions: np.ndarray, tags: Sequence[str]) -> DataFrame:
-    """``(sent_id, tags)``: the best tag path of each sentence from token scores and transition scores."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "scores")))
+    """``(sent_id, tags)``: the best tag path of each sentence from token scores and transition scores.
+
+    A sentence whose only row has a null ``pos`` has no tokens and an empty path.
+    """
+    ordered = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "scores"))))
     sentences = scored.groupBy("sent_id").agg(ordered.alias("_t")).select(
         "sent_id", F.flatten(F.col("_t.scores")).alias("scores")
     )
@@ -249,7 +252,10 @@ def best_paths(scores: Sequence[np.ndarray], transitions: np.ndarray) -> list[np
 
     Sentences advance together, longest first, so that a step is one array operation over those still running.
     """
-    order = sorted(range(len(scores)), key=lambda s: -len(scores[s]))
+    paths: list[np.ndarray] = [np.empty(0, dtype=np.int32)] * len(scores)
+    order = sorted((s for s in range(len(scores)) if len(scores[s])), key=lambda s: -len(scores[s]))
+    if not order:
+        return paths
     lengths = np.array([len(scores[s]) for s in order])
     total = np.array([scores[s][0] for s in order])
     came_from: list[np.ndarray] = []
@@ -259,7 +265,6 @@ def best_paths(scores: Sequence[np.ndarray], transitions: np.ndarray) -> list[np
         came_from.append(reached.argmax(axis=1).astype(np.int16))
         step = np.array([scores[s][i] for s in order[:running]])
         total[:running] = reached.max(axis=1) + step
-    paths: list[np.ndarray] = [np.empty(0, dtype=np.int32)] * len(scores)
     for rank, s in enumerate(order):
         path = np.empty(lengths[rank], dtype=np.int32)
         path[-1] = total[rank].argmax()

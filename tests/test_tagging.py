@@ -167,3 +167,34 @@ def test_invalid_tags_make_no_spans(spark):
 
     row = spark.createDataFrame([(["B-PER", "X-PER", "B-LOC", "O"],)], "tags array<string>").select(span_array("tags")).first()[0]
     assert [tuple(s) for s in row] == [("PER", 0, 0), ("LOC", 2, 2)]
+
+
+def test_sentences_without_tokens_stay(spark, no_broadcast):
+    data = [(0, ["a", "b"]), (1, []), (2, None), (3, ["c"]), (4, []), (5, ["a"])]
+    sentences = spark.createDataFrame(data, "sent_id bigint, words array<string>")
+    words = corpus.every_word_rows(sentences)
+    vocab = spark.createDataFrame([("a", 1), ("b", 2), ("<UNK>", 3)], "word string, id bigint")
+    ids = corpus.gather_tokens(corpus.encode_words(words, vocab, "<UNK>"), "id", "ids")
+    assert rows(ids, "sent_id", "ids") == [(0, [1, 2]), (1, []), (2, []), (3, [3]), (4, []), (5, [1])]
+    known = vocab.union(spark.createDataFrame([("c", 4)], vocab.schema))
+    strict = corpus.gather_tokens(corpus.encode_words(words, known, None), "id", "ids")
+    assert rows(strict, "sent_id", "ids")[3] == (3, [4])
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        corpus.encode_words(words, vocab, None).collect()
+    padded = corpus.pad_sequences(corpus.batch_ids(ids, 2))
+    assert rows(padded, "sent_id", "batch", "ids", "length") == [
+        (0, 0, [1, 2], 2), (1, 0, [0, 0], 0), (2, 1, [0], 0), (3, 1, [3], 1), (4, 2, [0], 0), (5, 2, [1], 1),
+    ]
+    letters = spark.createDataFrame([("a", 7), ("c", 9)], "char string, id bigint")
+    spelled = corpus.gather_tokens(corpus.encode_chars(words, letters), "char_ids", "char_ids")
+    assert rows(spelled, "sent_id", "char_ids")[:4] == [(0, [[7], []]), (1, []), (2, []), (3, [[9]])]
+    nested = corpus.pad_nested(corpus.batch_ids(spelled, 3))
+    assert rows(nested, "sent_id", "char_ids")[:2] == [(0, [[7], [0]]), (1, [[0], [0]])]
+    tagged = sentences.select("sent_id", F.posexplode_outer(F.transform("words", lambda w: F.lit("O"))).alias("pos", "tag"))
+    tags = spark.createDataFrame([("O", 5)], "tag string, id bigint")
+    encoded, rejected = corpus.encode_tags(tagged, tags)
+    assert rows(corpus.gather_tokens(encoded, "tag_id", "ids"), "sent_id", "ids") == [(0, [5, 5]), (1, []), (2, []), (3, [5]), (4, []), (5, [5])]
+    assert rejected.count() == 0
+    scores = spark.createDataFrame([("a", [0.0, 1.0]), ("b", [2.0, 0.0])], "word string, scores array<double>")
+    paths = tagging.viterbi_decode(tagging.score_tokens(words, scores, ["X", "Y"]), np.zeros((2, 2)), ["X", "Y"])
+    assert rows(paths, "sent_id", "tags") == [(0, ["Y", "X"]), (1, []), (2, []), (3, ["X"]), (4, []), (5, ["Y"])]
