@@ -248,7 +248,15 @@ def geodesic(spark, sf):
     return paths.withColumn("dist", F.round("dist", 6))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_V}, {_NEAR},
+e AS MATERIALIZED (SELECT query_id AS a, base_id AS b, rank FROM near WHERE rank <= 20
+      UNION ALL SELECT base_id, query_id, rank FROM near WHERE rank <= 20),
+reach(k, id) AS (SELECT unnest(range(2, 21)), (SELECT min(id) FROM v)
+      UNION SELECT k, b FROM reach JOIN e ON a = id AND rank <= k),
+n AS (SELECT k, count(*) AS n FROM reach GROUP BY k)
+SELECT min(k)::INT AS k FROM n WHERE n = (SELECT count(*) FROM v)
+""")
 def min_connecting_k(spark, sf):
     k, _ = graph.smallest_connecting_k(all_vectors(spark, sf), 2)
     return spark.createDataFrame([(k,)], "k int")

@@ -77,22 +77,67 @@ def is_connected(nodes: DataFrame, edges: DataFrame) -> tuple[bool, int]:
     return unreached == 0, unreached
 
 
+def bottleneck_rank(nodes: DataFrame, ranked: DataFrame, start: int) -> int | None:
+    """The smallest ``k >= start`` for which the edges of ``rank <= k`` connect all nodes; None if none does.
+
+    It is the largest rank in a spanning tree of least ranks (Boruvka): every part of the graph takes its link of the least
+    rank, parts that links join become one, and links inside a part go. The number of parts at least halves each round.
+    """
+    labels = components(nodes, undirected(ranked.filter(F.col("rank") <= start)))
+    parts = cut_lineage(labels.select(F.col("component").alias("id")).distinct())
+    of_source = labels.select(F.col("id").alias("src"), F.col("component").alias("a"))
+    of_target = labels.select(F.col("id").alias("dst"), F.col("component").alias("b"))
+    named = spread_join(ranked.filter(F.col("rank") > start), of_source, "src", spread_by=["dst"])
+    links = cut_lineage(_least_links(spread_join(named, of_target, "dst", spread_by=["src"])))
+    k, count = start, parts.count()
+    while count > 1:
+        best = cut_lineage(links.groupBy("a").agg(F.min(F.struct("rank", "b")).alias("_l")).select("a", "_l.rank", "_l.b"))
+        found = best.agg(F.count(F.lit(1)), F.max("rank")).first()
+        if found[0] < count:
+            return None
+        k = max(k, found[1])
+        joined = undirected(best.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.lit(1.0).alias("w")))
+        merged = components(parts, joined)
+        to_a = merged.select(F.col("id").alias("a"), F.col("component").alias("_a"))
+        to_b = merged.select(F.col("id").alias("b"), F.col("component").alias("_b"))
+        moved = spread_join(spread_join(links, to_a, "a", spread_by=["b"]), to_b, "b", spread_by=["a"])
+        before = (links, parts, best)
+        links = cut_lineage(_least_links(moved.select(F.col("_a").alias("a"), F.col("_b").alias("b"), "rank")))
+        parts = cut_lineage(merged.select(F.col("component").alias("id")).distinct())
+        for table in before:
+            release(table)
+        count = parts.count()
+    release(links)
+    release(parts)
+    return k
+
+
+def _least_links(rows: DataFrame) -> DataFrame:
+    """The least rank between every two parts, in both directions."""
+    there = rows.filter(F.col("a") != F.col("b")).select("a", "b", "rank")
+    back = there.select(F.col("b").alias("a"), F.col("a").alias("b"), "rank")
+    return there.unionByName(back).groupBy("a", "b").agg(F.min("rank").alias("rank"))
+
+
 def smallest_connecting_k(vectors: DataFrame, start: int = 4, **options) -> tuple[int, DataFrame]:
     """The first ``k >= start`` whose neighbour graph is connected, and that graph.
 
-    Neighbours are ranked up to a ceiling and filtered by rank for each ``k``; the ceiling doubles when none suffices.
+    Neighbours are ranked up to a ceiling, which doubles while no ``k`` below it suffices.
     """
     vectors = cut_lineage(vectors)
-    n = vectors.count()
-    k, ceiling, ranked = start, 0, None
-    while k < n:
-        if k > ceiling:
-            ceiling = min(2 * k, n - 1)
-            ranked = cut_lineage(ranked_edges(vectors, ceiling, **options))
-        edges = cut_lineage(undirected(ranked.filter(F.col("rank") <= k)))
-        if is_connected(vectors, edges)[0]:
+    n, ceiling = vectors.count(), 2 * start
+    while start < n:
+        ceiling = min(ceiling, n - 1)
+        ranked = cut_lineage(ranked_edges(vectors, ceiling, **options))
+        k = bottleneck_rank(vectors, ranked, start)
+        if k is not None:
+            edges = cut_lineage(undirected(ranked.filter(F.col("rank") <= k)))
+            release(ranked)
             return k, edges
-        k += 1
+        release(ranked)
+        if ceiling == n - 1:
+            break
+        ceiling *= 2
     raise ValueError(f"k must stay below the number of vectors ({n})")
 
 

@@ -185,3 +185,31 @@ def test_double_center_of_a_rectangle(spark):
     d2 = d**2
     wanted = -0.5 * (d2 - d2.mean(1)[:, None] - d2.mean(0)[None, :] + d2.mean())
     assert all(abs(wanted[r["i"], r["j"]] - r["b"]) < 1e-12 for r in ops.double_center(long).collect())
+
+
+def test_bottleneck_rank_equals_trying_every_k(spark):
+    draw = np.random.default_rng(3)
+    for case in (2,):
+        n = int(draw.integers(20, 40))
+        groups = draw.normal(size=(3, 2)) * (1 + 3 * case)
+        points = groups[draw.integers(0, 3, n)] + draw.normal(size=(n, 2))
+        near = [(i, j, r) for i, j, r in exact(points, points, n - 1, True)]
+
+        def connected(k, near=near):
+            root = {i: i for i, _, _ in near}
+
+            def find(i):
+                while root[i] != i:
+                    i = root[i]
+                return i
+
+            for i, j, r in near:
+                if r <= k:
+                    root[find(i)] = find(j)
+            return len({find(i) for i in root}) == 1
+
+        wanted = next(k for k in range(1, n) if connected(k))
+        ranked = graph.ranked_edges(frame(spark, points), n - 1).cache()
+        assert graph.bottleneck_rank(frame(spark, points), ranked, 1) == wanted
+        if wanted > 1:
+            assert graph.bottleneck_rank(frame(spark, points), ranked.filter(F.col("rank") < wanted), 1) is None
