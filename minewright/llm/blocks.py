@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from minewright.plans.spread import estimated_bytes
+
 
 BLOCK_BYTES = 8 << 20
 SCAN_BYTES_PER_PARTITION = 8 << 20
@@ -34,12 +36,13 @@ ASK_SCHEMA = "bucket int, block long, payload binary"
 def scanned_bytes(docs: DataFrame) -> int:
     """Bytes that the frame reads: what Catalyst knows of its sources, or its text bytes, counted once, if it does not.
 
-    Sources are added up. The estimate of the whole plan is not used, because joins multiply it.
+    Sources are added up, because the estimate of a whole plan multiplies at joins; it counts where it is the smaller, as
+    it leaves out columns that are not read.
     """
     leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
     known = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     if known < UNKNOWN_BYTES:
-        return known
+        return min(known, estimated_bytes(docs))
     counted = getattr(docs, "_text_bytes", None)
     if counted is None:
         texts = [F.octet_length(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() in ("string", "binary")]
@@ -131,7 +134,12 @@ def make_blocks(
             )
 
     blocks = docs.mapInArrow(packed, BLOCK_SCHEMA)
-    return blocks.repartition(partitions_for(docs), "block") if spread else blocks
+    if not spread:
+        return blocks
+    count = partitions_for(docs)
+    spread_blocks = blocks.repartition(count, "block")
+    spread_blocks._block_partitions = count
+    return spread_blocks
 
 
 def pack_texts(table: pa.Table) -> bytes:
@@ -176,8 +184,13 @@ def answer(asks: DataFrame, reply: Callable[[list[bytes]], list[bytes]]) -> Data
 
 def with_answers(blocks: DataFrame, answers: DataFrame, name: str = "answers") -> DataFrame:
     """Blocks beside their answers, a map from bucket to message; a block holds at most one answer a bucket."""
-    mine = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias(name))
-    return blocks.join(mine, "block", "left")
+    # As many partitions as the blocks have, so that the join leaves them where they are and their exchange is reused.
+    count = getattr(blocks, "_block_partitions", None)
+    near = answers.repartition(count, "block") if count else answers
+    mine = near.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias(name))
+    joined = blocks.join(mine, "block", "left")
+    joined._block_partitions = count
+    return joined
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
