@@ -10,6 +10,7 @@ from minewright.functions.keys import shard_of
 from minewright.operators import logs as ops
 
 WIDTH = 4096
+PIECE = 64
 GAP_MILLIS = 3_600_000
 BLOCK_SECONDS = 7 * 86_400
 GROUPS = 6
@@ -64,6 +65,25 @@ def kv_get_as_of(spark, sf):
     return ops.get_as_of(event_log(spark, sf).filter(F.col("op").isNotNull()), WIDTH)
 
 
+@query(f"""
+WITH {_LOG}, r AS (SELECT key, max(seq) AS seq FROM log WHERE op = 'Get' GROUP BY key),
+j AS (
+  SELECT r.key, r.seq, w.seq AS at, w.value, strlen(w.value) + 1 AS size,
+    max(CASE WHEN w.op = 'Put' THEN w.seq END) OVER (PARTITION BY r.key) AS put
+  FROM r JOIN log w ON w.key = r.key AND w.seq < r.seq AND w.op IN ('Put', 'Append')),
+s AS (
+  SELECT *, ((sum(size) OVER (PARTITION BY key ORDER BY at) - size) // {PIECE})::BIGINT AS piece
+  FROM j WHERE at >= coalesce(put, at))
+SELECT seq, key, piece, string_agg(value, '' ORDER BY at) AS value, 'OK' AS err FROM s GROUP BY seq, key, piece
+UNION ALL SELECT seq, key, 0, '', 'ErrNoKey' FROM r WHERE seq NOT IN (SELECT seq FROM j)
+""")
+def kv_read_values(spark, sf):
+    """The text of every key's last Get."""
+    log = event_log(spark, sf)
+    last = log.filter(F.col("op") == ops.GET).groupBy("key").agg(F.max("seq").alias("seq"))
+    return ops.read_values(log, last, PIECE, WIDTH)
+
+
 @query(f"WITH {_LOG} SELECT client, req, min(seq) AS seq, min_by(value, seq) AS value FROM log GROUP BY client, req")
 def log_dedup(spark, sf):
     return ops.dedup_requests(event_log(spark, sf)).select("client", "req", "seq", "value")

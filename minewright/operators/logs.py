@@ -19,6 +19,7 @@ from minewright.plans.ordered import (
     with_previous,
     with_running_sum,
 )
+from minewright.plans.lineage import cut_lineage
 from minewright.plans.spread import spread_join
 
 # Operation names, the error of a missing key, the ping interval and the number of missed pings that count as dead.
@@ -29,6 +30,7 @@ PING_MILLIS = 100
 DEAD_PINGS = 5
 
 BLOCK_WIDTH = 1_000_000
+PIECE_BYTES = 4 * 1024 * 1024
 BLOCK_SECONDS = 86_400
 
 
@@ -75,6 +77,51 @@ def get_as_of(log: DataFrame, width: int = BLOCK_WIDTH) -> DataFrame:
     )
 
 
+def read_values(
+    log: DataFrame, reads: DataFrame, piece_bytes: int = PIECE_BYTES, width: int = BLOCK_WIDTH
+) -> DataFrame:
+    """``(seq, key, piece, value, err)``: the text that each Get of ``reads`` (a column ``seq``) saw, in pieces.
+
+    The writes of a key since a Put are cut into pieces by running length (bytes, and one more a write), written down
+    once, and a read meets the pieces up to its own place. A piece holds at most ``piece_bytes`` and one write, so a
+    long value is never in one row; the pieces of a read, in order, are its text. The output is as long as the texts
+    asked for. A read before any write gives one empty piece and ``ErrNoKey``; a ``seq`` that is no Get gives nothing,
+    one named twice counts once. Null keys are a key of their own; a null value is empty.
+    """
+    wanted = reads.select("seq").distinct()
+    asked = log.filter(F.col("op") == GET).select("seq", F.struct("key").alias("_k")).join(wanted, "seq", "left_semi")
+    writes = log.filter(F.col("op").isin(PUT, APPEND)).select(
+        "seq", F.struct("key").alias("_k"), "op", F.coalesce("value", F.lit("")).alias("value")
+    )
+    writes = spread_join(writes, asked.select("_k").distinct(), "_k", "left_semi", spread_by=["seq"])
+    size = F.coalesce(F.octet_length("value") + 1, F.lit(0)).cast("bigint")
+    rows = writes.unionByName(asked, allowMissingColumns=True)
+    block = sequence_block("seq", width)
+    summed = with_running_sum(rows, ["_k"], ["seq"], block, size, "_end").withColumn("_start", F.col("_end") - size)
+    put = F.when(F.col("op") == PUT, F.col("_start"))
+    since = with_last_seen(summed, ["_k"], ["seq"], block, put, "_from").withColumn("_from", F.coalesce("_from", F.lit(0)))
+    placed = cut_lineage(since.withColumn("_at", F.col("_start") - F.col("_from")).drop("_start", "_end"))
+    piece = F.floor(F.col("_at") / F.lit(piece_bytes)).cast("bigint").alias("piece")
+    pieces = (
+        placed.filter(F.col("op").isNotNull())
+        .groupBy("_k", "_from", piece)
+        .agg(F.array_sort(F.collect_list(F.struct("seq", "value"))).alias("_writes"))
+    )
+    last = F.floor(F.greatest(F.col("_at") - 1, F.lit(0)) / F.lit(piece_bytes)).cast("bigint")
+    spans = placed.filter(F.col("op").isNull()).select(
+        "seq", "_k", "_from", "_at", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece")
+    )
+    met = spread_join(spans, pieces, ["_k", "_from", "piece"], "left", spread_by=["seq"])
+    seen = F.filter("_writes", lambda w: w["seq"] < F.col("seq"))
+    return met.select(
+        "seq",
+        F.col("_k.key").alias("key"),
+        "piece",
+        F.coalesce(F.array_join(F.transform(seen, lambda w: w["value"]), ""), F.lit("")).alias("value"),
+        F.when(F.col("_at") > 0, F.lit(OK)).otherwise(F.lit(NO_KEY)).alias("err"),
+    )
+
+
 def dedup_requests(log: DataFrame, request: Sequence[str] = ("client", "req"), order: str = "seq") -> DataFrame:
     """The first row of every request; repeats are dropped on the map side already."""
     others = [c for c in log.columns if c not in request]

@@ -186,3 +186,89 @@ def test_rows_with_null_keys_stay(spark):
     rows_ = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("a", 1, 7), ("a", None, 8)], "k string, at long, v long")
     got = with_previous(rows_, ["k"], ["at"], sequence_block("at", 10), {"before": "v"})
     assert sorted((r.v, r.before) for r in got.collect()) == [(5, None), (6, 5), (7, 8), (8, None)]
+
+
+@pytest.mark.parametrize("piece_bytes", [1, 20, 1 << 20])
+def test_read_values_spell_out_the_text_in_bounded_pieces(spark, no_broadcast, piece_bytes):
+    data = [(0, 0, 0, "hot", "Get", None), *((s + 1, *rest) for s, *rest in make_log())]
+    data += [(900, 0, 0, None, "Append", "né"), (901, 0, 0, None, "Append", None), (902, 0, 0, None, "Get", None)]
+    data += [(903, 0, 0, "e", "Append", ""), (904, 0, 0, "e", "Get", None)]
+    state, texts = {}, {}
+    for seq, _, _, key, op, value in data:
+        if op == "Get":
+            texts[seq] = (key, state.get(key), "OK" if key in state else "ErrNoKey")
+        else:
+            state[key] = ("" if op == "Put" else state.get(key, "")) + (value or "")
+    asked = sorted(texts)[::3] + [0, 902, 904]
+    reads = spark.createDataFrame([(s,) for s in [*asked, 0, 1_000_000]], "seq bigint")
+    got = {}
+    for r in sorted(ops.read_values(spark.createDataFrame(data, SCHEMA), reads, piece_bytes, 50).collect(), key=lambda r: (r.seq, r.piece)):
+        assert len(r.value.encode()) <= piece_bytes + 4
+        before = got.get(r.seq, (r.key, "", r.err))
+        got[r.seq] = (r.key, before[1] + r.value, r.err)
+    assert got == {s: (k, text or "", err) for s, (k, text, err) in texts.items() if s in asked}
+
+
+def retried_log(n, span):
+    """Requests of which some come again within ``span`` numbers, in an order disturbed by less than that."""
+    rng = random.Random(5)
+    out, recent = [], []
+    for seq in range(n):
+        again = [r for r in recent if seq - r[0] < span]
+        if again and rng.random() < 0.2:
+            out.append((seq, *rng.choice(again)[1:]))
+            continue
+        row = (seq, seq % 3, seq, rng.choice("aab"), rng.choices(["Put", "Append"], [1, 3])[0], f"{seq};")
+        out.append(row)
+        recent = [*again, row]
+    return sorted(out, key=lambda r: r[0] + rng.random() * (span - 1))
+
+
+def test_stream_fold_with_retries_stays_bounded(spark, tmp_path):
+    span, size, table = 12, 20, f"{tmp_path}/table"
+    data = retried_log(24 * size, span)
+    firsts, held = {}, []
+    for row in sorted(data):
+        firsts.setdefault(row[1:3], row)
+    for number in range(24):
+        batch = spark.createDataFrame(data[number * size : (number + 1) * size], SCHEMA).coalesce(1)
+        for _ in range(2 if number in (3, 8, 15) else 1):
+            streams.fold_batch(batch, number, table, ("client", "req"), span, merge_every=4)
+        if number % 4 == 3:
+            assert streams._written(spark, f"{table}/piece") == []
+            held.append(spark.read.parquet(f"{table}/base/{number}").count())
+    folded = streams.read_folded(spark, table, ("client", "req"))
+    assert whole(ops.fold_log(folded, 50)) == replay(sorted(firsts.values()))[0]
+    assert max(held) <= 60 and held[-1] < 2 * held[0]
+
+
+def test_stream_of_retries_equals_batch(spark, tmp_path):
+    data = retried_log(120, 10)
+    for i in range(3):
+        spark.createDataFrame(data[i * 40 : i * 40 + 40], SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = streams.read_log_stream(spark, f"{tmp_path}/in", SCHEMA, files_per_trigger=1)
+    request = ("client", "req")
+    streams.stream_fold(stream, f"{tmp_path}/t", f"{tmp_path}/cp", request, span=50, merge_every=2).awaitTermination(120)
+    batch = ops.fold_log(ops.dedup_requests(spark.createDataFrame(data, SCHEMA)), 50)
+    assert whole(ops.fold_log(streams.read_folded(spark, f"{tmp_path}/t", request), 50)) == whole(batch)
+
+
+def test_stream_liveness_equals_batch(spark, tmp_path):
+    data = ping_rows()
+    late = START + dt.timedelta(days=2)
+    schema = "server string, ts timestamp_ntz"
+    data.sort(key=lambda r: r[1])
+    cut = len(data) // 2
+    for part in (data[:cut][::-1], data[cut:] + [(None, START)], [("sentinel", late)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = streams.stream_liveness(streams.read_log_stream(spark, f"{tmp_path}/in", schema, 1), "1 hour")
+    stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start(
+        f"{tmp_path}/out"
+    ).awaitTermination(120)
+    out = spark.read.parquet(f"{tmp_path}/out").filter("server <> 'sentinel'")
+    latest = out.groupBy("server", "last_ping", "dead_from").agg(F.max("back_at").alias("back_at"))
+    pings = spark.createDataFrame(data, schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    batch = ops.ping_gaps(pings, as_of=F.lit(late))
+    assert batch.filter("back_at IS NULL").count() == 2
+    columns = ("server", "last_ping", "dead_from", "back_at")
+    assert sorted(map(str, latest.select(*columns).collect())) == sorted(map(str, batch.select(*columns).collect()))
