@@ -68,13 +68,13 @@ def kv_get_as_of(spark, sf):
 @query(f"""
 WITH {_LOG}, r AS (SELECT key, max(seq) AS seq FROM log WHERE op = 'Get' GROUP BY key),
 j AS (
-  SELECT r.key, r.seq, w.seq AS at, w.value, strlen(w.value) + 1 AS size,
+  SELECT r.key, r.seq, w.seq AS pos, w.value, strlen(w.value) + 1 AS size,
     max(CASE WHEN w.op = 'Put' THEN w.seq END) OVER (PARTITION BY r.key) AS put
   FROM r JOIN log w ON w.key = r.key AND w.seq < r.seq AND w.op IN ('Put', 'Append')),
 s AS (
-  SELECT *, ((sum(size) OVER (PARTITION BY key ORDER BY at) - size) // {PIECE})::BIGINT AS piece
-  FROM j WHERE at >= coalesce(put, at))
-SELECT seq, key, piece, string_agg(value, '' ORDER BY at) AS value, 'OK' AS err FROM s GROUP BY seq, key, piece
+  SELECT *, ((sum(size) OVER (PARTITION BY key ORDER BY pos) - size) // {PIECE})::BIGINT AS piece
+  FROM j WHERE pos >= coalesce(put, pos))
+SELECT seq, key, piece, string_agg(value, '' ORDER BY pos) AS value, 'OK' AS err FROM s GROUP BY seq, key, piece
 UNION ALL SELECT seq, key, 0, '', 'ErrNoKey' FROM r WHERE seq NOT IN (SELECT seq FROM j)
 """)
 def kv_read_values(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from minewright.catalog.registry import documents, query, table
+from minewright.catalog.registry import ORACLE, documents, query, table
 from minewright.operators import words as ops
 from minewright.sinks import merge_sorted
 
@@ -101,6 +101,22 @@ def map_reduce_list(spark, sf):
     return ops.map_reduce(documents(spark, sf), _emit_doc, _count_and_least)
 
 
+def _fold_least(state, value):
+    count, least = state
+    return count + 1, value if least is None else min(least, value)
+
+
+@query(ORACLE["map_reduce_list"])
+def map_reduce_sql(spark, sf):
+    """The same job, called from SQL."""
+    finish = lambda key, state: f"{state[0]}:{state[1]}"
+    ops.register_map_reduce(spark, "words_of", _emit_doc, lambda: (0, None), _fold_least, finish)
+    pairs = "SELECT m.key, m.value FROM {docs} d, LATERAL words_of_map(string(d.doc_id), d.text) m"
+    return spark.sql(
+        f"SELECT key, value FROM words_of_reduce(TABLE({pairs}) PARTITION BY key)", docs=documents(spark, sf)
+    )
+
+
 @query("""
 WITH k AS (SELECT string_split(p_name, '') AS c FROM part)
 SELECT CAST(list_reduce(

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import groupby
+from typing import Any
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from minewright.functions.keys import fnv1a
@@ -174,6 +175,43 @@ def map_reduce(
     return merged(mapped, ["key"], reduce_fn).select("key", "value")
 
 
+def register_map_reduce(
+    spark: SparkSession,
+    name: str,
+    map_fn: Callable[[str, str], Iterable[KeyValue]],
+    start: Callable[[], Any],
+    step: Callable[[Any, str], Any],
+    finish: Callable[[str, Any], str],
+) -> None:
+    """Let SQL call user functions: ``<name>_map(doc, contents)`` and ``<name>_reduce(TABLE(pairs) PARTITION BY key)``.
+
+    Both give ``(key, value)``. The reduce function is a fold, since SQL hands it a key's values one by one and in no
+    set order: ``start()``, then ``step(state, value)`` for each, then ``finish(key, state)``; only the state is held. A
+    null document or text reaches ``map_fn`` as None, a null key is a key of its own.
+    """
+
+    class MapPairs:
+        def eval(self, doc: str, contents: str) -> Iterator[KeyValue]:
+            yield from map_fn(doc, contents)
+
+    class FoldValues:
+        def __init__(self) -> None:
+            self.key = self.state = None
+            self.begun = False
+
+        def eval(self, pair: Row) -> None:
+            if not self.begun:
+                self.key, self.state, self.begun = pair["key"], start(), True
+            self.state = step(self.state, pair["value"])
+
+        def terminate(self) -> Iterator[KeyValue]:
+            if self.begun:
+                yield self.key, finish(self.key, self.state)
+
+    spark.udtf.register(f"{name}_map", F.udtf(MapPairs, returnType="key string, value string"))
+    spark.udtf.register(f"{name}_reduce", F.udtf(FoldValues, returnType="key string, value string"))
+
+
 def partition_skew(df: DataFrame, key: Column, n: int) -> DataFrame:
     """``(bucket, cnt)``: rows that hash partitioning by FNV-1a of ``key`` into ``n`` buckets would give each."""
     bucket = F.pmod(fnv1a(key), F.lit(n)).cast("int")

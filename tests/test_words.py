@@ -51,6 +51,18 @@ def test_map_reduce_calls_reduce_once_a_key_with_all_values(spark):
     assert ops.map_reduce(many.limit(0), emit, lambda key, values: "x").count() == 0
 
 
+def test_map_reduce_from_sql(spark):
+    many = [(i, "a b a") for i in range(100)] + [(None, "n"), (7, None), (8, "")]
+    emit = lambda doc, text: ((None if t == "n" else t, doc or "-") for t in (text or "").split())
+    ops.register_map_reduce(spark, "t", emit, list, lambda held, v: [*held, v], lambda key, held: f"{key} {len(held)} {min(held)}")
+    docs_ = spark.createDataFrame(many, "doc_id bigint, text string").repartition(5)
+    pairs = "SELECT m.key, m.value FROM {docs} d, LATERAL t_map(string(d.doc_id), d.text) m"
+    got = spark.sql(f"SELECT * FROM t_reduce(TABLE({pairs}) PARTITION BY key)", docs=docs_)
+    assert sorted(r["value"] for r in got.collect()) == ["None 1 -", "a 200 0", "b 100 0"]
+    empty = spark.sql(f"SELECT * FROM t_reduce(TABLE({pairs}) PARTITION BY key)", docs=docs_.limit(0))
+    assert empty.collect() == []
+
+
 def test_hash_and_shard(spark):
     df = spark.createDataFrame([("",), ("a",), ("foobar",), ("é",)], "k string")
     got = {r["k"]: (r["h"], r["s"]) for r in df.select("k", fnv1a(F.col("k")).alias("h"), shard_of(F.col("k")).alias("s")).collect()}
