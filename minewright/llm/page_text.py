@@ -4,7 +4,8 @@ Pages are sorted by host and path; each is paired with the neighbour whose path
 of both are aligned by longest common subsequence and the shared ones outside the article are deleted: they belong to the
 site. Differencing alone leaves what differs from page to page, such as menus and adverts drawn at random, and would
 delete what two articles share; so the mark-up has a say: lines in an ``article`` or ``main`` element are kept whatever
-the neighbour has, a page with such an element keeps no others, and menus, footers, forms and the like never stay.
+the neighbour has, a page with such an element keeps no others unless its own lines outside are longer (the elements are
+teasers then), and menus, footers, forms and the like never stay. An element without an end tag ends where HTML ends it.
 
 The sort is by range, so a large host is spread over many tasks. At the seam of two ranges a page is paired within its
 own.
@@ -33,7 +34,26 @@ FURNITURE = set(
     "masthead menu modal nav navbar navigation newsletter notice popup promo related share sidebar social sponsor sponsored "
     "subscribe toolbar widget".split()
 )
+# Words that may stand beside those in one class or id without giving it another meaning.
+NEUTRAL = set(
+    "area article articles bar block bottom box button buttons container content desktop fixed global header icon icons inner "
+    "item items left link links list main mobile outer page panel post posts primary right secondary section site slot sticky "
+    "top unit wrap wrapper".split()
+)
 FURNITURE_ROLES = set("navigation banner contentinfo complementary search form dialog alert".split())
+# Elements that hold blocks, and the start tags that end an element whose own end tag may be left out.
+CONTAINERS = set(
+    "address article aside blockquote body details dialog div dl fieldset figure footer form header html main nav ol section "
+    "table tbody td tfoot th thead tr ul".split()
+)
+NESTING = CONTAINERS - set("tbody td tfoot th thead tr".split())
+ENDED_BY = {
+    "p": CONTAINERS | set("dd dt h1 h2 h3 h4 h5 h6 hr li p pre".split()),
+    "li": {"li"},
+    **dict.fromkeys(("dd", "dt"), {"dd", "dt"}),
+    **dict.fromkeys(("td", "th"), {"td", "th", "tr", "tbody", "tfoot", "thead"}),
+    "tr": {"tr", "tbody", "tfoot", "thead"},
+}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
@@ -44,10 +64,13 @@ _NUMBER = re.compile(r"\d+")
 
 
 def _is_furniture(attributes: str) -> bool:
+    """Whether a role, or a whole class or id of furniture words and neutral ones, marks page furniture."""
     for name, *values in _ATTRIBUTE.findall(attributes):
-        words = set(_WORD.findall("".join(values).lower()))
-        if words & (FURNITURE_ROLES if name.lower() == "role" else FURNITURE):
-            return True
+        known = FURNITURE_ROLES if name.lower() == "role" else FURNITURE
+        for value in "".join(values).lower().split():
+            words = set(_WORD.findall(value))
+            if words & known and words <= known | NEUTRAL:
+                return True
     return False
 
 
@@ -56,8 +79,8 @@ def lines_of(source: str) -> tuple[list[str], list[bool], bool]:
     lines: list[str] = []
     inner: list[bool] = []
     parts: list[str] = []
-    dropped = None  # open furniture element and its depth
-    depth = articles = 0
+    dropped = None  # open furniture element, its depth, and the containers open in one that may lack its end tag
+    depth = articles = nested = 0
     has_article = False
 
     def close() -> None:
@@ -77,13 +100,27 @@ def lines_of(source: str) -> tuple[list[str], list[bool], bool]:
             continue
         ends = token[2] == "/"
         if dropped is not None:
-            if name == dropped and name not in VOID:
+            if dropped in ENDED_BY:
+                if nested:
+                    if name in NESTING:
+                        nested += -1 if ends else 1
+                    continue
+                if ends and name == dropped:
+                    dropped = None
+                    continue
+                if name not in (CONTAINERS if ends else ENDED_BY[dropped]) or (dropped == "tr" and name in ("td", "th") and ends):
+                    nested += not ends and name in NESTING
+                    continue
+                dropped = None  # ended by this tag, which counts as if it stood alone
+            elif name == dropped and name not in VOID:
                 depth += -1 if ends else 1
                 if not depth:
                     dropped = None
-            elif ends and name in ("body", "html"):
-                dropped = None
-            continue
+                continue
+            else:
+                if ends and name in ("body", "html"):
+                    dropped = None
+                continue
         if name in INLINE and (ends or not _is_furniture(token[4])):
             continue
         close()
@@ -97,7 +134,7 @@ def lines_of(source: str) -> tuple[list[str], list[bool], bool]:
         if not ends and name not in VOID and not token[4].endswith("/"):
             header = name == "header" and not articles
             if name in DROPPED or header or (name not in ("html", "body") and _is_furniture(token[4])):
-                dropped, depth = name, 1
+                dropped, depth, nested = name, 1, 0
     if dropped is None:
         parts.append(source[at:])
     close()
@@ -129,14 +166,20 @@ def common_lines(one: list[str], two: list[str]) -> set[int]:
 
 
 def main_text(page: tuple, other: tuple | None) -> str:
-    """Main text of a page of ``lines_of``, given those of its pair."""
+    """Main text of a page of ``lines_of``, given those of its pair.
+
+    Where lines outside the article elements that the pair does not share are longer than those inside, the elements are
+    teasers, and the lines of the whole page that are not shared stay.
+    """
     lines, inner, has_article = page
     outside = [i for i, own in enumerate(inner) if not own]
     shared: set[int] = set()
     if other is not None and outside:
         theirs = [line for line, own in zip(other[0], other[1], strict=True) if not own]
         shared = {outside[i] for i in common_lines([lines[i] for i in outside], theirs)}
-    kept = [x for i, x in enumerate(lines) if (inner[i] or not has_article) and i not in shared]
+    own = sum(len(lines[i]) for i in outside if i not in shared)
+    only_articles = has_article and own <= sum(len(x) for x, within in zip(lines, inner, strict=True) if within)
+    kept = [x for i, x in enumerate(lines) if (inner[i] or not only_articles) and i not in shared]
     return " ".join(kept)
 
 

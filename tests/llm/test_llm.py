@@ -323,6 +323,31 @@ def test_pages(spark):
     assert page_text.extract(spark, pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<article><p class='share'>x<p>Body text<p>More</article>", "Body text More"),
+        ("<article><p class=share>x<b>y</b></p>Body</article>", "Body"),
+        ("<article><ul><li class='ad'>a<ul><li>b</li></ul><li>kept</ul><p>end</article>", "kept end"),
+        ("<article><ul><li class='ad'>a<div>c</div></ul><p>end</article>", "end"),
+        ("<article><table><tr><td class='ad'>a<td>kept<tr class='promo'><td>x<tr><td>too</table></article>", "kept too"),
+        ("<article><table><tr class='ad'><td>a</td><td><table><tr><td>b</table></td></tr><tr><td>kept</table>x</article>", "kept x"),
+        ("<article><dl><dt class='ad'>a<dd>kept</dl></article>", "kept"),
+        ("<article><p class='share'>x<div>Body</div></article><p>out", "Body"),
+        ("<article><div class='social-history'>Kept</div><div class='share-buttons'>x</div><div id='ad-1'>y</div></article>", "Kept"),
+        ("<article>Teaser</article><div>A body far longer than the teaser</div>", "Teaser A body far longer than the teaser"),
+    ],
+)
+def test_page_marks(source, text):
+    assert page_text.main_text(page_text.lines_of(source), None) == text
+
+
+def test_teaser_pages_lose_the_lines_of_the_site():
+    shell = "<div>Site name and motto</div><article>Teaser</article><div>{}</div>"
+    one, two = (page_text.lines_of(shell.format(x)) for x in ("First body, quite long", "Second body, as long"))
+    assert page_text.main_text(one, two) == "Teaser First body, quite long"
+
+
 def linked(rows, size, percent):
     sets = {}
     for doc_id, text, *_ in rows:
