@@ -1,12 +1,13 @@
 """Operator 5: toxicity by compression distance.
 
 Two zstandard dictionaries are made from labelled texts: an ordinary one, trained on windows of ordinary text, and a toxic
-one, which is the ordinary one behind a part trained on the passages that set toxic texts apart (around words that are
-found in significantly more toxic texts). Sharing the ordinary part at the same distances makes ordinary windows compress
-alike with both, so the difference of the two lengths shows toxic passages and little else. A window whose difference
-reaches the calibrated threshold is a hit; the hits, their density and the largest difference give the score by a logistic model.
+one, which is the ordinary one behind a part trained on the words that set toxic texts apart: words, and all words of a stem
+(the first letters), that significantly more toxic texts have. Endings never seen in training match by their stem. Sharing
+the ordinary part at the same distances makes ordinary windows compress alike with both, so the difference of the two lengths
+shows toxic passages and little else. How many windows of a text gain how many bytes is weighed by a logistic model; the
+decision is calibrated to mark ``FALSE_ALARMS`` of the ordinary texts that trained neither.
 
-Dictionaries, threshold and model are fitted on a bounded sample, ``DOCS_PER_CLASS`` texts a label: a documented limit of
+Dictionaries, decision and model are fitted on a bounded sample, ``DOCS_PER_CLASS`` texts a label: a documented limit of
 the fit, drawn by a hash of the id. Scoring runs over whole texts of all documents in place, without a shuffle.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +29,14 @@ from minewright.llm import blocks as B
 DOCS_PER_CLASS = 1500
 WINDOW_WORDS = 8
 ORDINARY_BYTES = 4096
-TOXIC_BYTES = 1024
-SIGNIFICANT = 6.0
-MIN_SHARE = 0.06
+TOXIC_BYTES = 512
+STEMS = (4, 5, 6)
+SIGNIFICANT = 4.5
 DECIDED = 0.7
+FALSE_ALARMS = 0.03
 LEVEL = 7
-HIT_RATE = 0.004
+GAINS = 8
+RIDGE = 2.0
 SLICE_BYTES = 8 << 20
 # Fixed value of the dictionary format: repeat offsets 1, 4 and 8 as little-endian integers.
 _OFFSETS = bytes([1, 0, 0, 0, 4, 0, 0, 0, 8, 0, 0, 0])
@@ -45,8 +49,14 @@ def windows(text: str | None, size: int = WINDOW_WORDS) -> list[bytes]:
     return [f" {' '.join(words[i : i + size])} ".encode() for i in range(0, len(words), size)]
 
 
-def distinctive_words(toxic: list[str], ordinary: list[str]) -> set[str]:
-    """Words found in more toxic than ordinary texts by ``SIGNIFICANT`` standard errors and ``MIN_SHARE`` of all.
+def pieces(word: str) -> set[str]:
+    """The word without punctuation, closed by a space, and its stems."""
+    bare = word.strip(_PUNCTUATION)
+    return {f"{bare} ", *(bare[:n] for n in STEMS if len(bare) >= n)} if bare else set()
+
+
+def distinctive_pieces(toxic: list[str], ordinary: list[str]) -> set[str]:
+    """Words and stems in more toxic than ordinary texts by ``SIGNIFICANT`` standard errors, and over twice as often.
 
     A text counts for a word only in a neighbourhood that no earlier text of its label has, so copies count once.
     """
@@ -57,19 +67,28 @@ def distinctive_words(toxic: list[str], ordinary: list[str]) -> set[str]:
         for text in texts:
             words = text.lower().split()
             near = set(zip(["", *words], words, [*words[1:], ""], strict=False))
-            seen.update({w.strip(_PUNCTUATION) for _, w, _ in near - places})
+            seen.update(set().union(*(pieces(w) for w in {w for _, w, _ in near - places})))
             places |= near
         found.append(seen)
     many, few = max(1, len(toxic)), max(1, len(ordinary))
     out = set()
-    for word, n in found[0].items():
-        share, other = n / many, found[1][word] / few
-        pooled = (n + found[1][word]) / (many + few)
-        if word and share - other > MIN_SHARE and share > 2 * other and share - other > SIGNIFICANT * np.sqrt(pooled * (1 - pooled) * (1 / many + 1 / few)):
-            out.add(word)
+    for piece, n in found[0].items():
+        share, other = n / many, found[1][piece] / few
+        pooled = (n + found[1][piece]) / (many + few)
+        if share > 2 * other and share - other > SIGNIFICANT * np.sqrt(pooled * (1 - pooled) * (1 / many + 1 / few)):
+            out.add(piece)
     return out
 
 
+def marked_words(toxic: list[str], known: set[str]) -> list[bytes]:
+    """Words with a distinctive piece, as often as the root of the number of texts that have them, in hashed order."""
+    seen: Counter[str] = Counter()
+    for text in toxic:
+        seen.update({w.strip(_PUNCTUATION) for w in set(text.lower().split()) if pieces(w) & known})
+    copies = [(i, f" {w} ".encode()) for w, n in seen.items() for i in range(int(np.ceil(np.sqrt(n))))]
+    return [word for _, word in sorted(copies, key=lambda x: (crc32(b"%d%s" % x), x))]
+
+
 def _trained(samples: list[bytes], size: int) -> bytes:
     """Content of a dictionary trained on the samples, most frequent samples filling what training leaves.
 
@@ -89,12 +108,15 @@ def _trained(samples: list[bytes], size: int) -> bytes:
 
 @dataclass
 class Model:
-    """Dictionary contents, hit threshold, and weights of the logistic model over ``features``."""
+    """Dictionary contents, weights of the logistic model over ``features``, and what calibration adds to its logit."""
 
     ordinary: bytes
     toxic: bytes
-    threshold: int
     weights: np.ndarray
+    shift: float = 0.0
+
+    def chances(self, rows: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(rows @ self.weights + self.shift, -500, 500)))
 
     def meter(self) -> _Meter:
         # Equal sizes, so that zstandard picks equal parameters; bytes of 0 match no text.
@@ -116,16 +138,14 @@ class _Meter:
         return np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(text)], np.int64)
 
 
-def features(gains: np.ndarray, threshold: int) -> list[float]:
-    """Constant, any hit, size of the hits, their density, and the largest gain."""
-    if not len(gains):
-        return [1.0, 0.0, 0.0, 0.0, 0.0]
-    over = np.clip(gains - threshold + 1, 0, 6)
-    total = float(over.sum())
-    return [1.0, float(total > 0), np.log1p(total), min(3.0, 10.0 * total / len(gains)), min(8.0, float(gains.max())) / 4]
+def features(gains: np.ndarray) -> list[float]:
+    """Constant, windows that gain at least 1 to ``GAINS`` bytes (as logarithms), and the share of those with 2, 4 and 6."""
+    over = [float((gains >= t).sum()) for t in range(1, GAINS + 1)]
+    size = max(1, len(gains))
+    return [1.0, *np.log1p(over).tolist(), *(min(3.0, 10.0 * over[t - 1] / size) for t in (2, 4, 6))]
 
 
-def _logistic(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+def _logistic(rows: np.ndarray, labels: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """Ridge logistic regression by Newton steps."""
     weights = np.zeros(rows.shape[1])
     keep = np.diag([0.0] + [ridge] * (rows.shape[1] - 1)) + 1e-9 * np.eye(rows.shape[1])
@@ -138,27 +158,25 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.05) -> np.n
 
 
 def fit(toxic: list[str], ordinary: list[str], share: float) -> Model:
-    """Fit dictionaries on one half of the texts, threshold and model on the other; ``share``: of toxic rows in all."""
-    words = distinctive_words(toxic[::2], ordinary[::2])
-    marked = [
-        w for t in toxic[::2] for w in windows(t, 1) if w.decode().strip().strip(_PUNCTUATION) in words
-    ]
+    """Fit dictionaries on one half of the texts, model and decision on the other; ``share``: of toxic rows in all."""
+    marked = marked_words(toxic[::2], distinctive_pieces(toxic[::2], ordinary[::2]))
+    weights = np.zeros(len(features(np.zeros(0))))
+    weights[0] = np.log(max(share, 1e-3) / max(1 - share, 1e-3))
     model = Model(
-        _trained([w for t in ordinary[::2] for w in windows(t)][:50_000], ORDINARY_BYTES) if ordinary else b"",
-        _trained(marked[:50_000], TOXIC_BYTES) if marked else b"",
-        1,
-        np.array([np.log(max(share, 1e-3) / max(1 - share, 1e-3)), 0.0, 0.0, 0.0, 0.0]),
+        _trained([w for t in ordinary[::2] for w in windows(t)], ORDINARY_BYTES) if ordinary else b"",
+        _trained(marked, TOXIC_BYTES) if marked else b"",
+        weights,
     )
     if not model.toxic or not model.ordinary:
         return model
     meter = model.meter()
-    gains = [[meter.gains(t) for t in texts[1::2]] for texts in (toxic, ordinary)]
-    # The smallest threshold that few ordinary windows reach; the model weighs the rest.
-    ordinary_gains = np.concatenate([np.zeros(1, np.int64), *gains[1]])
-    model.threshold = next(t for t in range(1, 64) if (ordinary_gains >= t).mean() <= HIT_RATE)
-    rows = np.array([features(g, model.threshold) for part in gains for g in part])
-    labels = np.repeat([1.0, 0.0], [len(part) for part in gains])
-    model.weights = _logistic(rows, labels)
+    parts = [np.array([features(meter.gains(t)) for t in texts[1::2]]).reshape(-1, len(weights)) for texts in (toxic, ordinary)]
+    if not min(map(len, parts)):
+        return model
+    model.weights = _logistic(np.concatenate(parts), np.repeat([1.0, 0.0], [len(p) for p in parts]))
+    # The logit above which few ordinary texts are; a text without any gain is never above it.
+    cut = float(np.quantile(parts[1] @ model.weights, 1 - FALSE_ALARMS, method="higher"))
+    model.shift = np.log(DECIDED / (1 - DECIDED)) - max(cut, float(model.weights[0])) - 1e-6
     return model
 
 
@@ -177,7 +195,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, usable: Colum
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, predicted) of every row: the chance of label 1, and 1 where it is at least ``DECIDED``.
+    """(doc_id, score, predicted) of every row: 0 to 1, higher where label 1 is likelier, and 1 from ``DECIDED`` on.
 
     Null and wordless texts have no hit, like most ordinary texts. Rows are independent, so repeated rows and null ids are
     like others; an empty table gives an empty result; other columns are ignored.
@@ -189,8 +207,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
         fitted = shared.value
         meter = fitted.meter()
         for table in B.gathered(batches, "text", SLICE_BYTES):
-            rows = np.array([features(meter.gains(t), fitted.threshold) for t in table.column("text").to_pylist()])
-            chance = 1 / (1 + np.exp(-np.clip(rows @ fitted.weights, -30, 30)))
+            chance = fitted.chances(np.array([features(meter.gains(t)) for t in table.column("text").to_pylist()]))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": table.column("doc_id").combine_chunks(),

@@ -1,6 +1,7 @@
 """Text-pipeline operators against brute force on a small table of awkward rows."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -198,6 +199,36 @@ def test_toxic_passages_are_found(spark):
     assert {r.predicted for r in toxicity.score(spark, docs, untaught).collect()} == {0}
 
 
+def test_toxic_words_spread_over_many_endings(spark, nothing):
+    """Three hundred toxic words of ten stems, each in under 3 % of the toxic texts: no single word tells."""
+    draw = random.Random(11)
+    syllables = "the on er at ing ou th re in an".split()
+    stems = ["vrkla", "zmopu", "gwexi", "dlubo", "pfuna", "skjoma", "bzirt", "hruqe", "tchaw", "mwolp"]
+    spoilt = [a + "".join(b) for a in stems for b in draw.sample([(x, y, z) for x in syllables for y in syllables for z in syllables], 30)]
+
+    def text(bad):
+        w = ["".join(draw.choices(syllables, k=draw.randint(1, 4))) for _ in range(draw.randint(20, 150))]
+        for _ in range(bad):
+            w[draw.randrange(len(w))] = spoilt[next(turn) % 300]
+        return " ".join(w)
+
+    turn = itertools.count()
+    data = [(i, text(5 if i % 4 == 0 else 0)) for i in range(1600)]
+    seen = Counter(w for i, t in data if i % 4 == 0 for w in set(t.split()) & set(spoilt))
+    assert max(seen.values()) < 0.03 * 400
+    huge = " ".join([data[1][1]] * 2000) + " " + data[4][1]
+    docs = spark.createDataFrame([*data, (5001, huge)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in data], "doc_id long, toxic int")
+    usable = language_id.in_training(F.col("doc_id"), 3, 1)
+    model = toxicity.train(spark, docs, labels, usable)
+    got = {r.doc_id: r for r in toxicity.score(spark, docs, model).collect()}
+    assert len(got) == 1601 and 0 <= got[5001].score <= 1
+    held = [got[i] for i, _ in data if crc32(str(i).encode()) % 3 == 1]
+    bad, good = ([r.predicted for r in held if (r.doc_id % 4 == 0) == k] for k in (True, False))
+    assert sum(bad) >= 0.85 * len(bad) and sum(good) <= 0.08 * len(good)
+    assert toxicity.score(spark, nothing, model).count() == 0
+
+
 def test_languages(spark, docs, rows, nothing):
     field = language_id.train(docs, language_id.in_training(F.col("doc_id"), 4, 2))
     got = language_id.identify(spark, docs, field, ("doc_id", "lang", "text")).collect()
