@@ -1,18 +1,21 @@
 """Operator 3: a class-based language model with exchange clustering.
 
-P(word | word before) = P(class | class before) * P(word | class). Classes come from exchange clustering: every word of the
-training texts moves to the class under which its neighbours are likeliest, all words at once in a round, as in the
-distributed exchange of Uszkoreit and Brants (2008). Neighbours are told apart by the ``ANCHORS`` most frequent words and
-the text's end; that bounds the model that is broadcast (``CLASSES`` x contexts), not the vocabulary: all words of all
-training texts are counted, clustered and scored.
-
-Texts are packed once as word numbers in blocks, which are a written table. Counts, neighbour histograms and finally class
-and count travel between blocks and hash buckets of words, one entry for a word and block. Words that training texts lack
-are one symbol with the chance that words seen once have.
+P(word | word before) = P(class | class before) * P(word | class). Classes come from exchange clustering on class bigrams:
+in a round every word of the training texts moves to the class that raises the class-bigram likelihood most, given the
+current classes of all its neighbours, all words at once, as in the distributed exchange of Uszkoreit and Brants (2008).
+Rounds go on until the mutual information of adjacent classes gains less than ``MIN_GAIN``; as words that move together can
+also lower it, the best round's classes are kept. The most frequent words begin as a class each, all others as one.
+
+Texts are packed once as word numbers in blocks, a table bucketed by block, which is not shuffled again. A round is one
+question and answer: a block sends each hash bucket its words with their neighbours' classes, counted; the bucket moves the
+words and answers with their classes. Only the class-bigram matrix (``CLASSES`` squared) reaches the driver. All words of all
+training texts are counted, clustered and scored. Words that training texts lack are one symbol with the chance that words
+seen once have.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial
 from zlib import crc32
@@ -24,16 +27,17 @@ from pyspark.sql import functions as F
 
 from minewright.llm import blocks as B
 from minewright.llm.language_id import in_training
-from minewright.plans.lineage import cut_lineage, release
+from minewright.plans.lineage import cut_lineage, ensure_checkpoint_dir, release
 
 CLASSES = 48
-ANCHORS = 1000
-ROUNDS = 5
+MIN_GAIN = 0.01
 PARTS, LEFT_OUT = 10, 0
 BACK_OFF = 20.0
 # Class numbers beyond the clustered ones.
 END, UNKNOWN = CLASSES, CLASSES + 1
 STATES = CLASSES + 2
+# Contexts on one side of a word: the classes and the text's end.
+SIDE = CLASSES + 1
 CHUNK = 40_000
 
 
@@ -79,7 +83,7 @@ def _ask_counts(payload: bytes, *, buckets: int) -> Iterator[tuple[int, bytes]]:
 
 
 def _count(asks: DataFrame) -> DataFrame:
-    """Per bucket: tokens, distinct words, words seen once, and its ``ANCHORS`` most frequent words."""
+    """Per bucket: tokens, distinct words, words seen once, and its ``CLASSES`` most frequent words."""
 
     def group(table: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
@@ -87,7 +91,7 @@ def _count(asks: DataFrame) -> DataFrame:
             lengths, joined, own = B.expand(message)
             for word, n in zip(_cut(lengths, joined), own.tolist(), strict=True):
                 known[word] = known.get(word, 0) + n
-        top = sorted(known.items(), key=lambda x: (-x[1], x[0]))[:ANCHORS]
+        top = sorted(known.items(), key=lambda x: (-x[1], x[0]))[:CLASSES]
         row = {
             "tokens": pa.array([sum(known.values())], pa.int64()),
             "words": pa.array([len(known)], pa.int64()),
@@ -101,104 +105,164 @@ def _count(asks: DataFrame) -> DataFrame:
     return asks.groupBy("bucket").applyInArrow(group, schema)
 
 
-def _contexts(anchors: int) -> int:
-    """Contexts on one side: the anchors and the text's end; other words are left out."""
-    return anchors + 1
+def _kinds(words: list[bytes], answers: dict[int, bytes], buckets: int, first: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Class and training count of a block's words; before the first round (no answers), classes are those of ``first``."""
+    kind, seen = np.full(len(words) + 1, UNKNOWN, np.uint8), np.zeros(len(words) + 1, np.int64)
+    if not answers:
+        kind[:-1] = np.fromiter((first.get(w, CLASSES - 1) for w in words), np.uint8, len(words))
+        return kind, seen
+    for bucket, at in _by_bucket(words, buckets):
+        kind[at], seen[at] = B.expand(answers[bucket])
+    return kind, seen
 
 
-def _ask_neighbours(payload: bytes, *, buckets: int, anchors) -> Iterator[tuple[int, bytes]]:
+def _ask_moves(payload: bytes, answers: dict[int, bytes] | None = None, *, buckets: int, first) -> Iterator[tuple[int, bytes]]:
+    """All words of a block with their training count, class, and counted neighbour classes."""
     _, learn, counts, places, lengths, joined = B.expand(payload)
-    words, known = _cut(lengths, joined), anchors.value
-    side = _contexts(len(known))
-    context = np.array([known.get(w, -1) for w in words] or [-1], np.int64)
+    words = _cut(lengths, joined)
+    kind, _ = _kinds(words, answers or {}, buckets, first.value)
     starts = np.cumsum(counts) - counts
     chosen = _learned(learn, counts)
-    before, after = np.full(len(places), side - 1), np.full(len(places), side - 1)
-    before[1:], after[:-1] = context[places[:-1]], context[places[1:]]
+    before, after = np.full(len(places), END, np.int64), np.full(len(places), END, np.int64)
+    before[1:], after[:-1] = kind[places[:-1]], kind[places[1:]]
     filled = counts > 0
-    before[starts[filled]] = side - 1
-    after[starts[filled] + counts[filled] - 1] = side - 1
-    keys = [places[chosen & (c >= 0)].astype(np.int64) * (2 * side) + shift + c[chosen & (c >= 0)] for c, shift in ((before, 0), (after, side))]
-    cells, n = np.unique(np.concatenate(keys), return_counts=True)
-    owner = cells // (2 * side)
-    edges = np.searchsorted(owner, np.arange(len(words) + 1))
+    before[starts[filled]] = END
+    after[starts[filled] + counts[filled] - 1] = END
+    own_places = places[chosen].astype(np.int64) * (2 * SIDE)
+    cells, n = np.unique(np.concatenate([own_places + before[chosen], own_places + SIDE + after[chosen]]), return_counts=True)
+    edges = np.searchsorted(cells // (2 * SIDE), np.arange(len(words) + 1))
     own = np.bincount(places[chosen], minlength=len(words)).astype(np.uint32)
     for bucket, at in _by_bucket(words, buckets):
-        at = at[own[at] > 0]
-        if len(at):
-            sizes = edges[at + 1] - edges[at]
-            spots = np.repeat(edges[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-            yield bucket, B.shrink(
-                lengths[at], b"".join([words[i] for i in at.tolist()]), own[at],
-                sizes.astype(np.uint32), (cells[spots] % (2 * side)).astype(np.uint16), n[spots].astype(np.uint32),
-            )
+        sizes = edges[at + 1] - edges[at]
+        spots = np.repeat(edges[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        yield bucket, B.shrink(
+            lengths[at], b"".join([words[i] for i in at.tolist()]), own[at], kind[at],
+            sizes.astype(np.uint32), (cells[spots] % (2 * SIDE)).astype(np.uint8), n[spots].astype(np.uint32),
+        )
 
 
-def _merge_neighbours(asks: DataFrame) -> DataFrame:
-    """Per bucket one row: its words with training counts and neighbour histograms."""
+def _neighbour_sums(asks: DataFrame) -> np.ndarray:
+    """Tokens by (class, class of the word before) and, behind them, (class, class of the word after)."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(CLASSES * 2 * SIDE)
+        for batch in batches:
+            for payload in batch.column("payload"):
+                *_, kind, sizes, context, n = B.expand(payload.as_py())
+                sums += np.bincount(np.repeat(kind.astype(np.int64), sizes) * (2 * SIDE) + context, n, minlength=sums.size)
+        yield pa.RecordBatch.from_pydict({"class": pa.array([0], pa.int32()), "sums": pa.array([sums.tobytes()], pa.binary())})
+
+    rows = _summed(asks.select("payload").mapInArrow(scan, "class int, sums binary"))
+    return rows.get(0, np.zeros(CLASSES * 2 * SIDE)).reshape(CLASSES, 2 * SIDE)
 
-    def group(table: pa.Table) -> pa.Table:
-        known: dict[bytes, int] = {}
-        rows, cells, counts, totals = [], [], [], []
-        for message in table.column("payload").to_pylist():
-            lengths, joined, own, sizes, context, n = B.expand(message)
-            place = np.array([known.setdefault(w, len(known)) for w in _cut(lengths, joined)], np.int64)
-            totals.append((place, own))
-            rows.append(np.repeat(place, sizes))
-            cells.append(context)
-            counts.append(n)
-        total = np.zeros(len(known), np.int64)
-        for place, own in totals:
-            total[place] += own
-        keys = np.concatenate(rows) * 65536 + np.concatenate(cells)
-        unique, number = np.unique(keys, return_inverse=True)
-        summed = np.bincount(number, np.concatenate(counts), minlength=len(unique)).astype(np.int64)
-        sizes = np.bincount(unique // 65536, minlength=len(known)).astype(np.uint32)
-        payload = B.shrink(
-            np.array([len(w) for w in known], np.uint32), b"".join(known), total,
-            sizes, (unique % 65536).astype(np.uint16), summed.astype(np.uint32),
-        )
-        return pa.table({"bucket": table.column("bucket").slice(0, 1), "payload": pa.array([payload], pa.binary())})
 
-    return asks.groupBy("bucket").applyInArrow(group, "bucket int, payload binary")
+def mutual_information(sums: np.ndarray) -> float:
+    """Of adjacent classes, in nats: the class-bigram likelihood a token, but for a constant."""
+    pairs = sums[:, :SIDE] / max(1.0, sums[:, :SIDE].sum())
+    apart = pairs.sum(1, keepdims=True) * pairs.sum(0, keepdims=True)
+    some = pairs > 0
+    return float((pairs[some] * np.log(pairs[some] / apart[some])).sum())
 
 
-def _classes_of(sizes: np.ndarray, context: np.ndarray, n: np.ndarray, likely: np.ndarray) -> np.ndarray:
-    """Best class of each word; ``likely``: (context, class) log probabilities. Words without contexts go to class 0."""
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def best_classes(own: np.ndarray, kind: np.ndarray, sizes: np.ndarray, context: np.ndarray, n: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """The class of each word under which class bigrams are likeliest, the word taken out of its own first; ties stay.
+
+    ``sizes`` cells (``context``, ``n``) a word. Where a word is its own neighbour, that neighbour keeps its class.
+    """
+    totals = sums[:, :SIDE].sum(1)
+    add, drop = _xlogx(sums + 1) - _xlogx(sums), _xlogx(sums) - _xlogx(np.maximum(sums - 1, 0))
+    add, out = np.ascontiguousarray(add.T), kind.astype(np.int64)
     edges = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    out = np.zeros(len(sizes), np.int64)
     low = 0
     while low < len(sizes):
         high = max(low + 1, int(np.searchsorted(edges, edges[low] + CHUNK, "right")) - 1)
         part = slice(int(edges[low]), int(edges[high]))
-        if part.stop > part.start:
-            weighted = likely[context[part]] * n[part, None].astype(np.float32)
-            some = np.flatnonzero(sizes[low:high])
-            sums = np.add.reduceat(weighted, edges[low:high][some] - part.start)
-            out[low + some] = sums.argmax(1)
+        some = low + np.flatnonzero(sizes[low:high])
+        if len(some):
+            cell, times = context[part].astype(np.int64), n[part].astype(float)
+            home = np.repeat(out[low:high], sizes[low:high])
+            gain = add[cell]
+            gain[np.arange(len(cell)), home] = drop[home, cell]
+            many = np.flatnonzero(times > 1)
+            base = sums[:, cell[many]].T.copy()
+            base[np.arange(len(many)), home[many]] -= times[many]
+            gain[many] = _xlogx(np.maximum(base, 0) + times[many, None]) - _xlogx(np.maximum(base, 0))
+            worth = np.add.reduceat(gain, edges[some] - part.start)
+            rest, size, at = np.tile(totals, (len(some), 1)), own[some].astype(float), np.arange(len(some))
+            rest[at, out[some]] -= size
+            worth -= 2 * (_xlogx(np.maximum(rest, 0) + size[:, None]) - _xlogx(np.maximum(rest, 0)))
+            worth[at, out[some]] += 1e-9 * size + 1e-9
+            out[some] = worth.argmax(1)
         low = high
     return out
 
 
-def _exchange(spark: SparkSession, words: DataFrame, likely: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One round: class sizes in tokens and class by context counts after every word has moved."""
-    shared = spark.sparkContext.broadcast(likely)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, totals = np.zeros(likely.shape[::-1]), np.zeros(CLASSES)
-        for batch in batches:
-            for payload in batch.column("payload").to_pylist():
-                _, _, total, sizes, context, n = B.expand(payload)
-                found = _classes_of(sizes, context, n, shared.value)
-                totals += np.bincount(found, total, minlength=CLASSES)
-                cells = np.repeat(found, sizes) * likely.shape[0] + context
-                sums += np.bincount(cells, n, minlength=sums.size).reshape(sums.shape)
-        rows = [np.concatenate([totals[k : k + 1], sums[k]]).tobytes() for k in range(CLASSES)]
-        yield pa.RecordBatch.from_pydict({"class": pa.array(range(CLASSES), pa.int32()), "sums": pa.array(rows, pa.binary())})
+def _move(asks: DataFrame, sums) -> DataFrame:
+    """Answers to the blocks: class after the move (``UNKNOWN`` without training tokens) and training count of each word."""
 
-    rows = _summed(words.select("payload").mapInArrow(scan, "class int, sums binary"))
-    full = np.stack([rows.get(k, np.zeros(likely.shape[0] + 1)) for k in range(CLASSES)])
-    return full[:, 0], full[:, 1:]
+    def group(table: pa.Table) -> pa.Table:
+        known: dict[bytes, int] = {}
+        places, rows, cells, counts, owns, kinds = [], [], [], [], [], []
+        for message in table.column("payload"):
+            lengths, joined, own, kind, sizes, context, n = B.expand(message.as_py())
+            place = np.array([known.setdefault(w, len(known)) for w in _cut(lengths, joined)], np.int64)
+            places.append(place)
+            owns.append(own)
+            kinds.append(kind)
+            rows.append(np.repeat(place, sizes) * (2 * SIDE) + context)
+            counts.append(n)
+        total, kind = np.zeros(len(known), np.int64), np.zeros(len(known), np.uint8)
+        for place, own, now in zip(places, owns, kinds, strict=True):
+            total[place] += own
+            kind[place] = now
+        unique, number = np.unique(np.concatenate(rows), return_inverse=True)
+        summed = np.bincount(number, np.concatenate(counts), minlength=len(unique)).astype(np.int64)
+        sizes = np.bincount(unique // (2 * SIDE), minlength=len(known))
+        found = np.where(total > 0, best_classes(total, np.minimum(kind, CLASSES - 1), sizes, unique % (2 * SIDE), summed, sums.value), UNKNOWN)
+        out = [B.shrink(found[place].astype(np.uint8), total[place]) for place in places]
+        return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "payload": pa.array(out, pa.binary())})
+
+    return asks.groupBy("bucket").applyInArrow(group, B.ASK_SCHEMA)
+
+
+def _bucketed(blocks: DataFrame, count: int) -> tuple[DataFrame, str]:
+    """The blocks as a table bucketed by block in the checkpoint folder, so that joins on it leave it in place."""
+    spark, name = blocks.sparkSession, f"class_lm_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/table-{name}"
+    blocks.write.bucketBy(count, "block").option("path", path).format("parquet").saveAsTable(name)
+    written = spark.table(name)
+    written._table_path, written._block_partitions = path, count
+    return written, name
+
+
+def cluster(spark: SparkSession, blocks: DataFrame, buckets: int, top: list[bytes]) -> tuple[DataFrame | None, np.ndarray, list[float]]:
+    """Exchange rounds: (answers of the best round, its neighbour sums, mutual information before each round and at the end)."""
+    first = spark.sparkContext.broadcast({w: i for i, w in enumerate(top)})
+    question = partial(_ask_moves, buckets=buckets, first=first)
+    history: list[float] = []
+    best, best_sums, answers = None, None, None
+    while True:
+        asks = cut_lineage(B.ask(blocks if answers is None else B.with_answers(blocks, answers), question))
+        sums = _neighbour_sums(asks)
+        history.append(mutual_information(sums))
+        last = max(history[:-1], default=0.0)
+        # The classes before the first round are the seeds, which no answer holds yet.
+        better = len(history) <= 2 or history[-1] > last
+        if better:
+            if best is not None:
+                release(best)
+            best, best_sums = answers, sums
+        elif answers is not None:
+            release(answers)
+        if len(history) > 2 and history[-1] - last < MIN_GAIN * last or len(history) == 2 and not history[-1]:
+            release(asks)
+            return best, best_sums, history
+        answers = cut_lineage(_move(asks, spark.sparkContext.broadcast(sums)))
+        release(asks)
 
 
 def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
@@ -211,66 +275,10 @@ def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
     return {r["class"]: np.frombuffer(r["sums"]) for r in parts.groupBy("class").applyInArrow(group, "class int, sums binary").collect()}
 
 
-def _likely(sums: np.ndarray) -> np.ndarray:
-    """Smoothed log probabilities of contexts given classes, as (context, class)."""
-    overall = sums.sum(0) + 0.5
-    overall = overall / overall.sum()
-    return np.log((sums + 50.0 * overall) / (sums.sum(1, keepdims=True) + 50.0)).T.astype(np.float32)
-
-
-def _seed_sums(words: DataFrame, top: list[bytes], contexts: int) -> np.ndarray:
-    """Histograms of the most frequent words, one to begin each class with."""
-    wanted = set(top)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for payload in batch.column("payload").to_pylist():
-                lengths, joined, _, sizes, context, n = B.expand(payload)
-                edges = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-                found = [(i, w) for i, w in enumerate(_cut(lengths, joined)) if w in wanted]
-                rows = [np.bincount(context[edges[i] : edges[i + 1]], n[edges[i] : edges[i + 1]], minlength=contexts) for i, _ in found]
-                yield pa.RecordBatch.from_pydict(
-                    {"word": pa.array([w for _, w in found], pa.binary()), "sums": pa.array([r.astype(float).tobytes() for r in rows], pa.binary())}
-                )
-
-    rows = {bytes(r["word"]): np.frombuffer(r["sums"]) for r in words.select("payload").mapInArrow(scan, "word binary, sums binary").collect()}
-    empty = np.zeros(contexts)
-    return np.stack([rows.get(top[k], empty) if k < len(top) else empty for k in range(CLASSES)])
-
-
-def _ask_classes(payload: bytes, *, buckets: int) -> Iterator[tuple[int, bytes]]:
-    *_, lengths, joined = B.expand(payload)
-    words = _cut(lengths, joined)
-    for bucket, at in _by_bucket(words, buckets):
-        yield bucket, B.shrink(lengths[at], b"".join([words[i] for i in at.tolist()]))
-
-
-def _answer_classes(asks: DataFrame, words: DataFrame, likely: np.ndarray, spark: SparkSession) -> DataFrame:
-    shared = spark.sparkContext.broadcast(likely)
-
-    def group(asked: pa.Table, own: pa.Table) -> pa.Table:
-        known: dict[bytes, int] = {}
-        found, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for payload in own.column("payload").to_pylist():
-            lengths, joined, total, sizes, context, n = B.expand(payload)
-            found = _classes_of(sizes, context, n, shared.value)
-            known = {w: i for i, w in enumerate(_cut(lengths, joined))}
-        found, total = np.append(found, UNKNOWN), np.append(total, 0)
-        out = []
-        for message in asked.column("payload").to_pylist():
-            place = np.array([known.get(w, -1) for w in _cut(*B.expand(message))], np.int64)
-            out.append(B.shrink(found[place].astype(np.uint8), total[place]))
-        return pa.table({"bucket": asked.column("bucket"), "block": asked.column("block"), "payload": pa.array(out, pa.binary())})
-
-    return asks.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(group, B.ASK_SCHEMA)
-
-
 def _annotate(payload: bytes, answers: dict[int, bytes], *, buckets: int, totals, tokens: int, words: int, ends: int):
     rest, learn, counts, places, lengths, joined = B.expand(payload)
     spelled = _cut(lengths, joined)
-    kind, seen = np.full(len(spelled) + 1, UNKNOWN, np.uint8), np.zeros(len(spelled) + 1, np.int64)
-    for bucket, at in _by_bucket(spelled, buckets):
-        kind[at], seen[at] = B.expand(answers[bucket])
+    kind, seen = _kinds(spelled, answers, buckets, {})
     floor = np.log10(tokens + 0.1 * (words + 1))
     base = np.log10(seen + 0.1) - floor
     emit = np.where(seen > 0, np.log10(np.maximum(seen, 1)) - np.log10(np.maximum(totals[np.minimum(kind, CLASSES - 1)], 1)), 0.0)
@@ -338,30 +346,26 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", "text", in_training(F.col("doc_id"), PARTS, LEFT_OUT).alias("learn"))
     buckets = B.partitions_for(docs, B.SCAN_BYTES_PER_BUCKET)
-    blocks = cut_lineage(B.make_blocks(rows, _pack, spread=False))
+    blocks, name = _bucketed(B.make_blocks(rows, _pack, spread=False), B.partitions_for(docs))
     counted = cut_lineage(_count(B.ask(blocks, partial(_ask_counts, buckets=buckets))))
     sums = counted.agg(F.sum("tokens"), F.sum("words"), F.sum("once")).first()
     n_words, n_distinct, n_once = (int(x or 0) for x in sums)
     ends = rows.filter("learn").count()
     tokens, distinct = n_words + ends, n_distinct + (ends > 0)
     most = counted.select(F.explode(F.arrays_zip("top", "top_n")).alias("t")).select("t.top", "t.top_n")
-    top = [bytes(r["top"]) for r in most.orderBy(F.desc("top_n"), "top").limit(ANCHORS).collect()]
-    anchors = spark.sparkContext.broadcast({w: i for i, w in enumerate(top)})
-    asks = B.ask(blocks, partial(_ask_neighbours, buckets=buckets, anchors=anchors))
-    words = cut_lineage(_merge_neighbours(asks))
-    likely = _likely(_seed_sums(words, top[:CLASSES], 2 * _contexts(len(top))))
-    for _ in range(ROUNDS):
-        likely = _likely(_exchange(spark, words, likely)[1])
-    totals, _ = _exchange(spark, words, likely)
-    answers = _answer_classes(B.ask(blocks, partial(_ask_classes, buckets=buckets)), words, likely, spark)
+    top = [bytes(r["top"]) for r in most.orderBy(F.desc("top_n"), "top").limit(CLASSES - 1).collect()]
+    release(counted)
+    answers, sums, _ = cluster(spark, blocks, buckets, top)
+    totals = sums[:, :SIDE].sum(1)
     model = {"buckets": buckets, "totals": totals, "tokens": tokens, "words": distinct, "ends": ends}
     schema = "learn boolean, n_tokens long, n_known long, base_score double, emitted double, classes binary"
     kind = docs.schema["doc_id"].dataType.simpleString()
     annotated = cut_lineage(
         B.finish(B.with_answers(blocks, answers), partial(_annotate, **model), f"doc_id {kind}, {schema}")
     )
+    release(answers)
     release(blocks)
-    release(words)
+    spark.sql(f"DROP TABLE {name}")
     unknown = min(0.5, max(1e-7, n_once / tokens)) if tokens else 0.5
     log_moves = spark.sparkContext.broadcast(transition_scores(_transitions(annotated), unknown).ravel())
 

@@ -144,6 +144,83 @@ def test_language_model_counts_and_gain(spark, docs, rows, nothing):
     assert class_lm.score_documents(spark, nothing).count() == 0
 
 
+def _clustered(spark, docs):
+    """Class of every training word, and the mutual information by round."""
+    rows = docs.select("doc_id", "text", language_id.in_training(F.col("doc_id"), 10, 0).alias("learn"))
+    held, name = class_lm._bucketed(blocks.make_blocks(rows, class_lm._pack, spread=False), 3)
+    counts = Counter(w.encode() for r in rows.filter("learn").collect() for w in words(r.text, True))
+    top = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))][: class_lm.CLASSES - 1]
+    answers, _, history = class_lm.cluster(spark, held, 4, top)
+    found = {}
+    for row in blocks.with_answers(held, answers).collect():
+        *_, lengths, joined = blocks.expand(row.payload)
+        spelled = class_lm._cut(lengths, joined)
+        kind, seen = class_lm._kinds(spelled, {a.bucket: a.payload for a in row.answers or ()}, 4, {})
+        for w, k, n in zip(spelled, kind.tolist(), seen.tolist()):
+            assert n == counts[w] and (k == class_lm.UNKNOWN) == (n == 0) and found.setdefault(w, k) == k
+    spark.sql(f"DROP TABLE {name}")
+    return found, counts, history
+
+
+def test_class_scores_by_brute_force(spark, docs, rows):
+    kinds, counts, _ = _clustered(spark, docs)
+    texts = [([w.encode() for w in words(r[1], True)], r[0] is not None and crc32(str(r[0]).encode()) % 10 != 0) for r in rows]
+    moves, sizes = np.zeros((class_lm.STATES, class_lm.STATES)), Counter()
+
+    def path(tokens):
+        return [class_lm.END, *(kinds.get(w, class_lm.UNKNOWN) for w in tokens), class_lm.END]
+
+    for tokens, learn in texts:
+        if learn:
+            sizes.update(kinds[w] for w in tokens)
+            for a, b in zip(path(tokens), path(tokens)[1:]):
+                moves[a, b] += 1
+    n_tokens = sum(counts.values()) + sum(learn for _, learn in texts)
+    unknown = min(0.5, max(1e-7, sum(n == 1 for n in counts.values()) / n_tokens))
+    log = class_lm.transition_scores(moves.copy(), unknown)
+    expected = []
+    for tokens, _ in texts:
+        steps = path(tokens)
+        score = sum(log[a, b] for a, b in zip(steps, steps[1:]))
+        expected.append(round(score + sum(math.log10(counts[w] / sizes[kinds[w]]) for w in tokens if counts[w]), 5))
+    assert sorted(round(r.score, 5) for r in class_lm.score_documents(spark, docs).collect()) == pytest.approx(sorted(expected), abs=2e-5)
+
+
+def test_exchange_raises_mutual_information(spark):
+    draw = random.Random(8)
+    parts = [[f"{kind}{i}" for i in range(60)] for kind in ("noun", "verb", "adj")]
+    data = [(i, " ".join(draw.choice(p) for _ in range(30) for p in parts)) for i in range(300)]
+    kinds, counts, history = _clustered(spark, spark.createDataFrame(data, "doc_id long, text string"))
+    assert history[:-1] == sorted(history[:-1]) and history[-2] > 1.5 * history[0]
+    # No class mixes parts of speech: contexts are classes, not chosen words, and no word is without one.
+    mixed = {k: {w.decode().rstrip("0123456789") for w in counts if kinds[w] == k} for k in set(kinds.values())}
+    assert sum(len(m) == 1 for m in mixed.values()) >= 0.9 * len(mixed)
+
+
+def test_best_class_by_trying_all():
+    """The gain of a move equals the change of the class-bigram likelihood, for a word that is not its own neighbour."""
+    draw = np.random.default_rng(4)
+    side = class_lm.SIDE
+    sums = np.zeros((class_lm.CLASSES, 2 * side))
+    sums[:, :] = draw.integers(0, 40, sums.shape)
+    context = np.sort(draw.choice(2 * side, 6, replace=False))
+    n, home = draw.integers(1, 4, 6), 7
+    sums[home, context] += n
+    own = int(n[context < side].sum())
+
+    def likelihood(k):
+        moved = sums.copy()
+        moved[home, context] -= n
+        totals = sums[:, :side].sum(1)
+        totals[home] -= own
+        moved[k, context] += n
+        totals[k] += own
+        return (moved * np.log(np.maximum(moved, 1))).sum() - 2 * (totals * np.log(np.maximum(totals, 1))).sum()
+
+    got = class_lm.best_classes(np.array([own]), np.array([home]), np.array([6]), context, n, sums)
+    assert got[0] == max(range(class_lm.CLASSES), key=likelihood)
+
+
 def test_transitions_sum_to_one():
     import numpy as np
 
