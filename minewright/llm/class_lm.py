@@ -16,8 +16,10 @@ seen once have.
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
+from itertools import count
 from zlib import crc32
 
 import numpy as np
@@ -42,18 +44,19 @@ CHUNK = 40_000
 
 
 def _pack(table: pa.Table) -> bytes:
-    numbers: dict[bytes, int] = {}
+    numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
     counts, places = [], []
-    for text in table.column("text").to_pylist():
-        words = (text or "").encode().lower().split()
+    for text in table.column("text"):
+        words = (text.as_py() or "").encode().lower().split()
         counts.append(len(words))
-        places.append(np.array([numbers.setdefault(w, len(numbers)) for w in words], np.uint32))
+        places.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
     learn = table.column("learn").to_numpy()
     return B.shrink(
         B.pack_texts(table.drop_columns(["text"])),
         learn.astype(np.uint8),
         np.array(counts, np.int64),
         np.concatenate(places) if places else np.zeros(0, np.uint32),
+        np.fromiter(map(crc32, numbers), np.uint32, len(numbers)),
         np.array([len(w) for w in numbers], np.uint32),
         b"".join(numbers),
     )
@@ -64,8 +67,8 @@ def _cut(lengths: np.ndarray, joined: bytes) -> list[bytes]:
     return [joined[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _by_bucket(words: list[bytes], buckets: int):
-    return B.by_bucket(np.fromiter((crc32(w) for w in words), np.int64, len(words)) % buckets, buckets)
+def _by_bucket(hashes: np.ndarray, buckets: int):
+    return B.by_bucket(hashes % buckets, buckets)
 
 
 def _learned(learn: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -73,10 +76,10 @@ def _learned(learn: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _ask_counts(payload: bytes, *, buckets: int) -> Iterator[tuple[int, bytes]]:
-    _, learn, counts, places, lengths, joined = B.expand(payload)
+    _, learn, counts, places, hashes, lengths, joined = B.expand(payload)
     words = _cut(lengths, joined)
     own = np.bincount(places[_learned(learn, counts)], minlength=len(words)).astype(np.uint32)
-    for bucket, at in _by_bucket(words, buckets):
+    for bucket, at in _by_bucket(hashes, buckets):
         at = at[own[at] > 0]
         if len(at):
             yield bucket, B.shrink(lengths[at], b"".join([words[i] for i in at.tolist()]), own[at])
@@ -107,20 +110,34 @@ def _count(asks: DataFrame) -> DataFrame:
 
 def _kinds(words: list[bytes], answers: dict[int, bytes], buckets: int, first: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Class and training count of a block's words; before the first round (no answers), classes are those of ``first``."""
-    kind, seen = np.full(len(words) + 1, UNKNOWN, np.uint8), np.zeros(len(words) + 1, np.int64)
     if not answers:
+        kind, seen = np.full(len(words) + 1, UNKNOWN, np.uint8), np.zeros(len(words) + 1, np.int64)
         kind[:-1] = np.fromiter((first.get(w, CLASSES - 1) for w in words), np.uint8, len(words))
         return kind, seen
-    for bucket, at in _by_bucket(words, buckets):
-        kind[at], seen[at] = B.expand(answers[bucket])
-    return kind, seen
+    return _told(np.fromiter(map(crc32, words), np.uint32, len(words)), answers, buckets)[:2]
+
+
+def _told(hashes: np.ndarray, answers: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class, training count and number in its bucket of a block's words, as the buckets answered."""
+    size = len(hashes) + 1
+    kind, seen, number = np.full(size, UNKNOWN, np.uint8), np.zeros(size, np.int64), np.zeros(size, np.uint32)
+    for bucket, at in _by_bucket(hashes, buckets):
+        kind[at], seen[at], number[at] = B.expand(answers[bucket])
+    return kind, seen, number
 
 
 def _ask_moves(payload: bytes, answers: dict[int, bytes] | None = None, *, buckets: int, first) -> Iterator[tuple[int, bytes]]:
-    """All words of a block with their training count, class, and counted neighbour classes."""
-    _, learn, counts, places, lengths, joined = B.expand(payload)
-    words = _cut(lengths, joined)
-    kind, _ = _kinds(words, answers or {}, buckets, first.value)
+    """All words of a block with their training count, class, and counted neighbour classes.
+
+    The first round names words by their bytes; later ones by the numbers that the buckets gave them.
+    """
+    _, learn, counts, places, hashes, lengths, joined = B.expand(payload)
+    if answers:
+        words = None
+        kind, _, number = _told(hashes, answers, buckets)
+    else:
+        words = _cut(lengths, joined)
+        kind, _ = _kinds(words, {}, buckets, first.value)
     starts = np.cumsum(counts) - counts
     chosen = _learned(learn, counts)
     before, after = np.full(len(places), END, np.int64), np.full(len(places), END, np.int64)
@@ -130,15 +147,14 @@ def _ask_moves(payload: bytes, answers: dict[int, bytes] | None = None, *, bucke
     after[starts[filled] + counts[filled] - 1] = END
     own_places = places[chosen].astype(np.int64) * (2 * SIDE)
     cells, n = np.unique(np.concatenate([own_places + before[chosen], own_places + SIDE + after[chosen]]), return_counts=True)
-    edges = np.searchsorted(cells // (2 * SIDE), np.arange(len(words) + 1))
-    own = np.bincount(places[chosen], minlength=len(words)).astype(np.uint32)
-    for bucket, at in _by_bucket(words, buckets):
+    edges = np.searchsorted(cells // (2 * SIDE), np.arange(len(hashes) + 1))
+    own = np.bincount(places[chosen], minlength=len(hashes)).astype(np.uint32)
+    context, n = (cells % (2 * SIDE)).astype(np.uint8), n.astype(np.uint32)
+    for bucket, at in _by_bucket(hashes, buckets):
         sizes = edges[at + 1] - edges[at]
         spots = np.repeat(edges[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        yield bucket, B.shrink(
-            lengths[at], b"".join([words[i] for i in at.tolist()]), own[at], kind[at],
-            sizes.astype(np.uint32), (cells[spots] % (2 * SIDE)).astype(np.uint8), n[spots].astype(np.uint32),
-        )
+        names = (lengths[at], b"".join([words[i] for i in at.tolist()])) if words else (number[at], b"")
+        yield bucket, B.shrink(*names, own[at], kind[at], sizes.astype(np.uint32), context[spots], n[spots])
 
 
 def _neighbour_sums(asks: DataFrame) -> np.ndarray:
@@ -202,28 +218,29 @@ def best_classes(own: np.ndarray, kind: np.ndarray, sizes: np.ndarray, context:
 
 
 def _move(asks: DataFrame, sums) -> DataFrame:
-    """Answers to the blocks: class after the move (``UNKNOWN`` without training tokens) and training count of each word."""
+    """Answers to the blocks, for each word: class after the move (``UNKNOWN`` without training tokens), training count, number."""
 
     def group(table: pa.Table) -> pa.Table:
-        known: dict[bytes, int] = {}
-        places, rows, cells, counts, owns, kinds = [], [], [], [], [], []
+        known: defaultdict[bytes, int] = defaultdict(count().__next__)
+        places, messages, size = [], [], 0
         for message in table.column("payload"):
-            lengths, joined, own, kind, sizes, context, n = B.expand(message.as_py())
-            place = np.array([known.setdefault(w, len(known)) for w in _cut(lengths, joined)], np.int64)
-            places.append(place)
-            owns.append(own)
-            kinds.append(kind)
-            rows.append(np.repeat(place, sizes) * (2 * SIDE) + context)
-            counts.append(n)
-        total, kind = np.zeros(len(known), np.int64), np.zeros(len(known), np.uint8)
-        for place, own, now in zip(places, owns, kinds, strict=True):
+            names, joined, *counted = B.expand(message.as_py())
+            if joined:
+                names = np.fromiter(map(known.__getitem__, _cut(names, joined)), np.uint32, len(names))
+            places.append(names)
+            messages.append(counted)
+            size = max(size, int(names.max()) + 1)
+        total, kind, grid = np.zeros(size, np.int64), np.zeros(size, np.uint8), np.zeros(size * 2 * SIDE, np.uint32)
+        for place, (own, now, sizes, context, n) in zip(places, messages, strict=True):
             total[place] += own
             kind[place] = now
-        unique, number = np.unique(np.concatenate(rows), return_inverse=True)
-        summed = np.bincount(number, np.concatenate(counts), minlength=len(unique)).astype(np.int64)
-        sizes = np.bincount(unique // (2 * SIDE), minlength=len(known))
+            grid[np.repeat(place.astype(np.int64), sizes) * (2 * SIDE) + context] += n
+        del messages
+        unique = np.flatnonzero(grid)
+        summed = grid[unique].astype(np.int64)
+        sizes = np.bincount(unique // (2 * SIDE), minlength=size)
         found = np.where(total > 0, best_classes(total, np.minimum(kind, CLASSES - 1), sizes, unique % (2 * SIDE), summed, sums.value), UNKNOWN)
-        out = [B.shrink(found[place].astype(np.uint8), total[place]) for place in places]
+        out = [B.shrink(found[place].astype(np.uint8), total[place], place) for place in places]
         return pa.table({"bucket": table.column("bucket"), "block": table.column("block"), "payload": pa.array(out, pa.binary())})
 
     return asks.groupBy("bucket").applyInArrow(group, B.ASK_SCHEMA)
@@ -276,9 +293,8 @@ def _summed(parts: DataFrame) -> dict[int, np.ndarray]:
 
 
 def _annotate(payload: bytes, answers: dict[int, bytes], *, buckets: int, totals, tokens: int, words: int, ends: int):
-    rest, learn, counts, places, lengths, joined = B.expand(payload)
-    spelled = _cut(lengths, joined)
-    kind, seen = _kinds(spelled, answers, buckets, {})
+    rest, learn, counts, places, hashes, *_ = B.expand(payload)
+    kind, seen, _ = _told(hashes, answers, buckets)
     floor = np.log10(tokens + 0.1 * (words + 1))
     base = np.log10(seen + 0.1) - floor
     emit = np.where(seen > 0, np.log10(np.maximum(seen, 1)) - np.log10(np.maximum(totals[np.minimum(kind, CLASSES - 1)], 1)), 0.0)
