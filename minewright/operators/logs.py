@@ -85,7 +85,7 @@ def read_values(
     The writes of a key since a Put are cut into pieces by running length (bytes, and one more a write), written down
     once, and a read meets the pieces up to its own place. A piece holds at most ``piece_bytes`` and one write, so a
     long value is never in one row; the pieces of a read, in order, are its text. The output is as long as the texts
-    asked for. A read before any write gives one empty piece and ``ErrNoKey``; a ``seq`` that is no Get gives nothing,
+    asked for; numbers at which no write begins are left out. A read before any write gives one empty piece and ``ErrNoKey``; a ``seq`` that is no Get gives nothing,
     one named twice counts once. Null keys are a key of their own; a null value is empty.
     """
     wanted = reads.select("seq").distinct()
@@ -112,12 +112,14 @@ def read_values(
         "seq", "_k", "_from", "_at", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece")
     )
     met = spread_join(spans, pieces, ["_k", "_from", "piece"], "left", spread_by=["seq"])
-    seen = F.filter("_writes", lambda w: w["seq"] < F.col("seq"))
+    met = met.withColumn("_seen", F.filter("_writes", lambda w: w["seq"] < F.col("seq")))
+    # A write longer than what is left of its piece reaches into numbers at which no write begins: no rows for these.
+    met = met.filter((F.size("_seen") > 0) | (F.col("_at") == 0))
     return met.select(
         "seq",
         F.col("_k.key").alias("key"),
         "piece",
-        F.coalesce(F.array_join(F.transform(seen, lambda w: w["value"]), ""), F.lit("")).alias("value"),
+        F.coalesce(F.array_join(F.transform("_seen", lambda w: w["value"]), ""), F.lit("")).alias("value"),
         F.when(F.col("_at") > 0, F.lit(OK)).otherwise(F.lit(NO_KEY)).alias("err"),
     )
 

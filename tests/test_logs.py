@@ -209,6 +209,14 @@ def test_read_values_spell_out_the_text_in_bounded_pieces(spark, no_broadcast, p
     assert got == {s: (k, text or "", err) for s, (k, text, err) in texts.items() if s in asked}
 
 
+def test_read_values_skip_numbers_at_which_no_write_begins(spark):
+    data = [(1, 0, 0, "a", "Put", "0123456"), (2, 0, 0, "a", "Get", None), (3, 0, 0, "a", "Append", "x" * 14), (4, 0, 0, "a", "Append", "z")]
+    data += [(5, 0, 0, "a", "Get", None), (6, 0, 0, "b", "Get", None)]
+    got = ops.read_values(spark.createDataFrame(data, SCHEMA), spark.createDataFrame([(2,), (5,), (6,)], "seq bigint"), 5, 50)
+    wanted = [(2, 0, "0123456", "OK"), (5, 0, "0123456", "OK"), (5, 1, "x" * 14, "OK"), (5, 4, "z", "OK"), (6, 0, "", "ErrNoKey")]
+    assert sorted((r.seq, r.piece, r.value, r.err) for r in got.collect()) == wanted
+
+
 def retried_log(n, span):
     """Requests of which some come again within ``span`` numbers, in an order disturbed by less than that."""
     rng = random.Random(5)
