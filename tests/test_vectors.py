@@ -40,6 +40,30 @@ def test_knn_is_exact(spark, crowded, block_rows, max_cells, exclude_self):
     assert rows(got, "query_id", "base_id", "rank") == exact(crowded, crowded, 4, exclude_self)
 
 
+def test_blocks_moved_by_exact_search_grow_with_the_input(spark):
+    rng = np.random.default_rng(8)
+    moved = {}
+    for n in (400, 1600):
+        vectors = frame(spark, rng.normal(size=(n, 8)))
+        blocks = ops._pack_batches(vectors, 8).withColumn("cell", F.lit(0))
+        moved[n] = ops._grid(vectors, blocks, n, n, 8).count()
+    assert moved[1600] <= 5 * moved[400]
+
+
+def test_index_search_that_holds_the_queries_is_exact(spark, crowded, monkeypatch):
+    vectors = frame(spark, crowded)
+    index = ops.build_index(vectors, most=4, block_rows=2)
+    cells = len(index.tree.pivots)
+    assert cells > 40  # so that copying the queries for each cell would move more than the blocks
+    monkeypatch.setattr(ops, "block_pairs", None)
+    for exclude_self in (True, False):
+        got = ops.knn_indexed(vectors, index, 4, cells, exclude_self, block_rows=16)
+        assert rows(got, "query_id", "base_id", "rank") == exact(crowded, crowded, 4, exclude_self)
+    few = index.tree.nearest(crowded, 3, 4)
+    meets = index.tree.probing(crowded, 3)
+    assert all(meets(c).tolist() == np.flatnonzero((few == c).any(1)).tolist() for c in range(cells))
+
+
 def test_knn_with_fewer_base_rows_than_k(spark):
     points = np.arange(6.0).reshape(3, 2)
     got = ops.knn(frame(spark, points), frame(spark, points), 9)
