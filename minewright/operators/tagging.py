@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minewright.functions.text import date_rule
-from minewright.plans.spread import spread_join
+from minewright.plans.spread import spread_join, unnested
 
 # Fixed value: keeps the score fractions defined.
 EPSILON = 1e-13
@@ -178,7 +178,8 @@ def transition_counts(sentences: DataFrame, tags: str = "tags") -> DataFrame:
         F.slice(tags, F.lit(2), n),
         lambda a, b: F.struct(a.alias("tag"), b.alias("next_tag")),
     )
-    return sentences.select(F.inline(pairs)).groupBy("tag", "next_tag").agg(F.count(F.lit(1)).alias("cnt"))
+    rows = unnested(sentences, pairs, "_t")
+    return rows.groupBy("_t.tag", "_t.next_tag").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def smoothed_transitions(counts: DataFrame, n_tags: int) -> DataFrame:
@@ -190,7 +191,7 @@ def smoothed_transitions(counts: DataFrame, n_tags: int) -> DataFrame:
 
 def emission_counts(sentences: DataFrame, words: str = "words", tags: str = "tags") -> DataFrame:
     """``(word, tag, cnt)`` of words with their tags."""
-    rows = sentences.select(F.explode(F.arrays_zip(F.col(words).alias("word"), F.col(tags).alias("tag"))).alias("_t"))
+    rows = unnested(sentences, F.arrays_zip(F.col(words).alias("word"), F.col(tags).alias("tag")), "_t")
     return rows.groupBy("_t.word", "_t.tag").agg(F.count(F.lit(1)).alias("cnt"))
 
 

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from minewright.functions.keys import fnv1a
 from minewright.functions.text import letter_runs, whitespace_tokens
 from minewright.plans.lineage import cut_lineage
-from minewright.plans.spread import spread_join
+from minewright.plans.spread import spread_join, unnested
 
 KeyValue = tuple[str, str]
 
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(word, cnt)``, case-sensitive runs of letters."""
-    words = docs.select(F.explode(letter_runs(F.col(text))).alias("word"))
+    words = unnested(docs, letter_runs(F.col(text)), "word")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -32,14 +32,14 @@ def top_words(counts: DataFrame, n: int = 10) -> DataFrame:
 
 def distinct_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every whitespace-separated token once, in string order."""
-    tokens = docs.select(F.explode(F.array_distinct(whitespace_tokens(F.col(text)))).alias("token"))
+    tokens = unnested(docs, F.array_distinct(whitespace_tokens(F.col(text))), "token")
     return tokens.distinct().orderBy("token")
 
 
 def word_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(word, doc)`` pairs, a word once a row of ``docs``."""
-    words = F.explode(F.array_distinct(letter_runs(F.col(text))))
-    return docs.select(F.col(doc_id).alias("doc"), words.alias("word"))
+    words = F.array_distinct(letter_runs(F.col(text)))
+    return unnested(docs.select(F.col(doc_id).alias("doc"), text), words, "word", "doc")
 
 
 def posting_segments(docs: DataFrame, segment: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -9,6 +9,10 @@ from minewright.plans.lineage import ensure_checkpoint_dir
 from minewright.plans.numbering import with_dense_id
 from minewright.plans.ordered import sequence_block, with_last_seen, with_next, with_previous, with_running_sum
 from minewright.plans.spread import hot_keys, spread_join
+from minewright.operators.corpus import word_rows
+from minewright.operators.topics import token_rows
+from minewright.plans import spread
+from minewright.plans.spread import unnested
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +85,23 @@ def test_dense_ids_follow_the_order(spark, partitions):
 def test_checkpoint_dir_is_kept(spark):
     first = ensure_checkpoint_dir(spark)
     assert ensure_checkpoint_dir(spark) == first
+
+
+def test_unnested_array_is_not_computed_below_the_exchange(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, ""), (3, None), (4, "c")], "doc_id bigint, text string")
+    wide = docs.repartition(3, "doc_id").withColumn("tokens", F.transform(F.split("text", " "), F.upper))
+    rows_of = unnested(wide, "tokens", "term", "doc_id", pos="pos")
+    assert sorted(map(tuple, rows_of.collect())) == [(1, 0, "A"), (1, 1, "B"), (2, 0, ""), (4, 0, "C")]
+    plan = rows_of._jdf.queryExecution().optimizedPlan().toString()
+    assert "upper" not in plan[plan.index("RepartitionByExpression") :].lower()
+    assert token_rows(wide).columns == ["doc_id", "pos", "term"] and word_rows(wide.select(F.col("doc_id").alias("sent_id"), F.col("tokens").alias("words"))).count() == 4
+
+
+def test_large_scan_of_one_row_group_is_spread(spark, tmp_path, monkeypatch):
+    spark.range(4000).coalesce(1).write.parquet(f"{tmp_path}/one")
+    monkeypatch.setattr(spread, "SMALL_SCAN_BYTES", 1000)
+    monkeypatch.setattr(spread, "LARGE_TASK_BYTES", 4000)
+    read = spark.read.parquet(f"{tmp_path}/one")
+    assert spread.estimated_bytes(read) >= 4 * 1000
+    spread_rows = spread.widen(read, "id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread_rows) > 4 and sum(r["count"] for r in spread_rows) == 4000
