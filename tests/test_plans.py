@@ -100,8 +100,7 @@ def test_unnested_array_is_not_computed_below_the_exchange(spark):
 def test_large_scan_of_one_row_group_is_spread(spark, tmp_path, monkeypatch):
     spark.range(4000).coalesce(1).write.parquet(f"{tmp_path}/one")
     monkeypatch.setattr(spread, "SMALL_SCAN_BYTES", 1000)
-    monkeypatch.setattr(spread, "LARGE_TASK_BYTES", 4000)
     read = spark.read.parquet(f"{tmp_path}/one")
     assert spread.estimated_bytes(read) >= 4 * 1000
-    spread_rows = spread.widen(read, "id").groupBy(F.spark_partition_id()).count().collect()
+    spread_rows = spread.widen(read, "id", 4000).groupBy(F.spark_partition_id()).count().collect()
     assert len(spread_rows) > 4 and sum(r["count"] for r in spread_rows) == 4000
