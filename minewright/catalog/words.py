@@ -101,6 +101,10 @@ def map_reduce_list(spark, sf):
     return ops.map_reduce(documents(spark, sf), _emit_doc, _count_and_least)
 
 
+# Documents whose values of a key reach the fold in one row.
+FOLDED_DOCS = 10_000
+
+
 def _fold_least(state, value):
     count, least = state
     return count + 1, value if least is None else min(least, value)
@@ -111,9 +115,14 @@ def map_reduce_sql(spark, sf):
     """The same job, called from SQL."""
     finish = lambda key, state: f"{state[0]}:{state[1]}"
     ops.register_map_reduce(spark, "words_of", _emit_doc, lambda: (0, None), _fold_least, finish)
-    pairs = "SELECT m.key, m.value FROM {docs} d, LATERAL words_of_map(string(d.doc_id), d.text) m"
+    pairs = "SELECT m.key, m.value, d.doc_id FROM {docs} d, LATERAL words_of_map(string(d.doc_id), d.text) m"
+    # Structs, as collect_list drops nulls; a list holds the values of a key in one range of documents.
+    lists = (
+        "SELECT key, transform(collect_list(struct(value AS v)), p -> p.v) AS value"
+        f" FROM ({pairs}) GROUP BY key, doc_id DIV {FOLDED_DOCS}"
+    )
     return spark.sql(
-        f"SELECT key, value FROM words_of_reduce(TABLE({pairs}) PARTITION BY key)", docs=documents(spark, sf)
+        f"SELECT key, value FROM words_of_reduce(TABLE({lists}) PARTITION BY key)", docs=documents(spark, sf)
     )
 
 

@@ -187,7 +187,8 @@ def register_map_reduce(
 
     Both give ``(key, value)``. The reduce function is a fold, since SQL hands it a key's values one by one and in no
     set order: ``start()``, then ``step(state, value)`` for each, then ``finish(key, state)``; only the state is held. A
-    null document or text reaches ``map_fn`` as None, a null key is a key of its own.
+    null document or text reaches ``map_fn`` as None, a null key is a key of its own. A row of the reduce function costs far
+    more than a step, so ``value`` may also be an array of values of the key, gathered in SQL before (``map_reduce_sql``).
     """
 
     class MapPairs:
@@ -202,7 +203,9 @@ def register_map_reduce(
         def eval(self, pair: Row) -> None:
             if not self.begun:
                 self.key, self.state, self.begun = pair["key"], start(), True
-            self.state = step(self.state, pair["value"])
+            value = pair["value"]
+            for one in value if isinstance(value, list) else (value,):
+                self.state = step(self.state, one)
 
         def terminate(self) -> Iterator[KeyValue]:
             if self.begun:
