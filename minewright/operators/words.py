@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from itertools import groupby
+from itertools import accumulate, chain, groupby, pairwise
+from operator import itemgetter
 from typing import Any
 
 import pyarrow as pa
@@ -17,6 +19,8 @@ from minewright.plans.lineage import cut_lineage
 from minewright.plans.spread import spread_join, unnested
 
 KeyValue = tuple[str, str]
+# Values of one key in a shuffled row of ``map_reduce``.
+PIECE_VALUES = 256
 
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -120,59 +124,73 @@ def map_reduce(
     """``(key, value)`` of a user map function ``(doc, contents) -> pairs`` and reduce function ``(key, values)``.
 
     ``reduce_fn`` is called once a key with an iterator over all its values in no set order, which are streamed and not
-    held. Values of one key then meet in one task. Where the values of a key can be merged on the way, ``combine_fn`` does
+    held. Values of one key travel in pieces of at most ``PIECE_VALUES`` and meet in one task. Where the values of a key can be merged on the way, ``combine_fn`` does
     so inside the map tasks and once a salt, and ``reduce_fn`` sees at most ``salts`` merged values; it must accept its
     own results among the values (sum, union, minimum).
     """
 
+    schema = "key string, salt int, vals array<string>"
+
     def map_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = TaskContext.get().partitionId() % salts
-        pending: dict[str, list[str]] = {}
+        pending: dict[str, list[str]] = defaultdict(list)
         held = 0
 
         def flush() -> pa.RecordBatch:
-            if combine_fn is None:
-                pairs = [(key, value) for key, values in pending.items() for value in values]
-            else:
-                pairs = [(key, combine_fn(key, iter(values))) for key, values in pending.items()]
-            return pair_batch(pairs, salt)
+            if combine_fn is not None:
+                return pieces_batch([(key, [combine_fn(key, iter(values))]) for key, values in pending.items()], salt)
+            cut = ((key, values[i : i + PIECE_VALUES]) for key, values in pending.items() for i in range(0, len(values), PIECE_VALUES))
+            return pieces_batch(list(cut), salt)
 
         for batch in batches:
             for doc, contents in zip(batch.column("doc").to_pylist(), batch.column("contents").to_pylist()):
                 for key, value in map_fn(doc, contents):
-                    pending.setdefault(key, []).append(value)
+                    pending[key].append(value)
                     held += 1
                     if held >= buffered_pairs:
                         yield flush()
-                        pending, held = {}, 0
+                        pending, held = defaultdict(list), 0
         if pending:
             yield flush()
 
-    def pair_batch(pairs: list[KeyValue], salt: int) -> pa.RecordBatch:
-        columns = [pa.array([pair[i] for pair in pairs], pa.string()) for i in (0, 1)]
-        return pa.RecordBatch.from_arrays(
-            [columns[0], pa.array([salt] * len(pairs), pa.int32()), columns[1]], ["key", "salt", "value"]
-        )
+    def pieces_batch(pieces: list[tuple[str, list[str]]], salt: int) -> pa.RecordBatch:
+        offsets = pa.array(accumulate((len(values) for _, values in pieces), initial=0), pa.int32())
+        lists = pa.ListArray.from_arrays(offsets, pa.array(list(chain.from_iterable(values for _, values in pieces)), pa.string()))
+        keys = pa.array([key for key, _ in pieces], pa.string())
+        return pa.RecordBatch.from_arrays([keys, pa.array([salt] * len(pieces), pa.int32()), lists], ["key", "salt", "vals"])
+
+    def listed(column: pa.Array) -> list:
+        return column.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes ten times as long
+
+    def piece_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        vals = batch.column("vals")
+        values, edges = listed(vals.flatten()), listed(vals.offsets)
+        first = edges[0]
+        slices = (values[a - first : b - first] for a, b in pairwise(edges))
+        return zip(listed(batch.column("key")), listed(batch.column("salt")), slices, strict=True)
+
+    def merged(pieces: DataFrame, keys: Sequence[str], function: Callable[[str, Iterator[str]], str]) -> DataFrame:
+        same = itemgetter(0, 1) if len(keys) > 1 else itemgetter(0)
 
-    def merged(pairs: DataFrame, keys: Sequence[str], function: Callable[[str, Iterator[str]], str]) -> DataFrame:
         def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
-            done: list[KeyValue] = []
-            for key, group in groupby(rows, key=lambda row: row[: len(keys)]):
-                done.append((key[0], function(key[0], (value for *_, value in group))))
+            rows = chain.from_iterable(piece_rows(batch) for batch in batches if batch.num_rows)
+            done: list[tuple[str, list[str]]] = []
+            for key, group in groupby(rows, key=same):
+                name = key[0] if len(keys) > 1 else key
+                done.append((name, [function(name, chain.from_iterable(row[2] for row in group))]))
                 if len(done) >= 10_000:
-                    yield pair_batch(done, 0)
+                    yield pieces_batch(done, 0)
                     done = []
             if done:
-                yield pair_batch(done, 0)
+                yield pieces_batch(done, 0)
 
-        return pairs.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(merge, "key string, salt int, value string")
+        return pieces.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(merge, schema)
 
     inputs = docs.select(F.col(doc_id).cast("string").alias("doc"), F.col(text).alias("contents"))
-    mapped = inputs.mapInArrow(map_batches, "key string, salt int, value string")
+    mapped = inputs.mapInArrow(map_batches, schema)
     if combine_fn is not None:
         mapped = merged(mapped, ["key", "salt"], combine_fn)
-    return merged(mapped, ["key"], reduce_fn).select("key", "value")
+    return merged(mapped, ["key"], reduce_fn).select("key", F.col("vals")[0].alias("value"))
 
 
 def register_map_reduce(

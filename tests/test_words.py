@@ -63,6 +63,28 @@ def test_map_reduce_from_sql(spark):
     assert empty.collect() == []
 
 
+def test_map_reduce_ships_values_of_a_key_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(ops, "PIECE_VALUES", 2)
+    many = spark.createDataFrame([(i, "a b a n" if i % 2 else "b") for i in range(60)], "doc_id bigint, text string").repartition(3)
+    emit = lambda doc, text: ((None if t == "n" else t, None if t == "b" else doc) for t in text.split())
+    most = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        got = ops.map_reduce(many, emit, lambda key, values: ",".join(sorted(v or "-" for v in values)), buffered_pairs=50)
+        found = {r["key"]: r["value"].split(",") for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+    odd = [str(i) for i in range(1, 60, 2)]
+    assert found == {"a": sorted(odd * 2), "b": ["-"] * 60, None: sorted(odd)}
+
+
+def test_map_reduce_from_sql_folds_lists_of_values(spark):
+    ops.register_map_reduce(spark, "l", lambda doc, text: [], list, lambda held, v: [*held, v or "-"], lambda key, held: " ".join(sorted(held)))
+    rows_ = "VALUES ('a', array('1', null)), ('b', array('2')), ('a', array('3')), (null, array())"
+    got = spark.sql(f"SELECT * FROM l_reduce(TABLE(SELECT * FROM {rows_} t(key, value)) PARTITION BY key)").collect()
+    assert {r["key"]: r["value"] for r in got} == {"a": "- 1 3", "b": "2", None: ""}
+
+
 def test_hash_and_shard(spark):
     df = spark.createDataFrame([("",), ("a",), ("foobar",), ("é",)], "k string")
     got = {r["k"]: (r["h"], r["s"]) for r in df.select("k", fnv1a(F.col("k")).alias("h"), shard_of(F.col("k")).alias("s")).collect()}
