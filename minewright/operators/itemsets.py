@@ -6,6 +6,11 @@ The number of frequent items is at most (mean basket size / min_supp), whatever
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +20,10 @@ from minewright.plans.spread import spread_join, widen
 
 # Candidates that may be broadcast to the basket scan; larger sets are joined by shuffle with hot items salted.
 BROADCAST_CANDIDATES = 500_000
+# Candidates that are counted by bit sets in the basket scan: a task compares each with all its baskets, 64 at a time.
+BITSET_CANDIDATES = 20_000
+# Candidates whose bit sets are combined at a time.
+BITSET_ROWS = 512
 # Frequent items that may be written into the plan as a list; with more, baskets keep their infrequent items, which
 # then meet no candidate.
 LITERAL_ITEMS = 5_000
@@ -97,6 +106,43 @@ def count_candidates(baskets: DataFrame, candidates: DataFrame, broadcast: bool
     )
 
 
+def count_by_bitsets(baskets: DataFrame, candidates: DataFrame, size: int) -> DataFrame:
+    """The counts of ``count_candidates`` for a bounded number of candidates, without a row for a basket and candidate.
+
+    A task turns a batch of baskets to one bit set an item, and a candidate's count is the number of bits that the sets of
+    its items share. It hands over one row a candidate.
+    """
+    sets = candidates.select(F.concat("prefix", F.array("last")).alias("items")).toArrow().column("items").combine_chunks()
+    names = sets.flatten().unique()
+    codes = pc.index_in(sets.flatten(), names).to_numpy().reshape(-1, size)
+    shared = baskets.sparkSession.sparkContext.broadcast((sets, names, codes))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, names, codes = shared.value
+        counts = np.zeros(len(codes), np.int64)
+        for batch in batches:
+            lists = batch.column("items")
+            found = pc.index_in(lists.flatten().cast(names.type), names)
+            known = found.is_valid().to_numpy(zero_copy_only=False)
+            basket = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+            held = np.zeros((len(names), -(-len(lists) // 64) * 64), bool)
+            held[found.drop_null().to_numpy(), basket[known]] = True
+            bits = np.packbits(held, axis=1).view(np.uint64)
+            for start in range(0, len(codes), BITSET_ROWS):
+                part = codes[start : start + BITSET_ROWS]
+                common = bits[part[:, 0]]
+                for column in part.T[1:]:
+                    common &= bits[column]
+                counts[start : start + BITSET_ROWS] += np.bitwise_count(common).sum(1, dtype=np.int64)
+        at = np.flatnonzero(counts)
+        if len(at):
+            yield pa.RecordBatch.from_pydict({"items": sets.take(pa.array(at)), "cnt": pa.array(counts[at])})
+
+    kind = baskets.schema["items"].dataType.simpleString()
+    counted = baskets.select("items").mapInArrow(count, f"items {kind}, cnt bigint")
+    return counted.groupBy("items").agg(F.sum("cnt").alias("cnt"))
+
+
 def frequent_level(baskets: DataFrame, size: int, min_supp: float = 0.8) -> DataFrame:
     """The frequent sets of exactly ``size`` items."""
     for level_size, level in _levels(baskets, min_supp, size):
@@ -120,9 +166,11 @@ def _levels(baskets: DataFrame, min_supp: float, max_size: int | None = None):
             return
         if size == 2:
             baskets = _restrict(baskets, kept, n_items)
-        candidates = candidate_itemsets(level, size)
-        small = n_level * n_items <= BROADCAST_CANDIDATES
-        counted = count_candidates(baskets, candidates, broadcast=small)
+        candidates = cut_lineage(candidate_itemsets(level, size))
+        if candidates.count() <= BITSET_CANDIDATES:
+            counted = count_by_bitsets(baskets, candidates, size)
+        else:
+            counted = count_candidates(baskets, candidates, broadcast=n_level * n_items <= BROADCAST_CANDIDATES)
         level = cut_lineage(min_support_filter(counted, n, min_supp))
         n_level = level.count()
 

@@ -54,6 +54,20 @@ def test_counting_without_broadcast_and_with_hot_items(spark, no_broadcast, rand
     assert got == brute(sets, 0.15)[2]
 
 
+def test_bit_sets_count_as_the_join_does(spark, random_baskets, monkeypatch):
+    baskets, sets = random_baskets
+    monkeypatch.setattr(ops, "BITSET_ROWS", 5)
+    for size in (2, 3):
+        candidates = ops.candidate_itemsets(ops.frequent_level(baskets, size - 1, 0.15), size).cache()
+        counted = [rows(c, "items", "cnt") for c in (ops.count_by_bitsets(baskets.repartition(3), candidates, size), ops.count_candidates(baskets, candidates))]
+        assert counted[0] == counted[1] and len(counted[0]) > 5
+    monkeypatch.setattr(ops, "BITSET_CANDIDATES", 0)
+    for limit in (0, 500_000):
+        monkeypatch.setattr(ops, "BROADCAST_CANDIDATES", limit)
+        got = {tuple(r["items"]): r["cnt"] for r in ops.frequent_level(baskets, 3, 0.15).collect()}
+        assert got == brute(sets, 0.15)[2]
+
+
 def test_repeated_item_counts_once_a_basket(spark):
     baskets = ops.baskets_from_rows(spark.createDataFrame([(0, 1), (0, 1), (0, 2), (1, 1)], "t int, i int"), "t", "i")
     assert rows(ops.item_counts(baskets), "item", "cnt") == [(1, 2), (2, 1)]
