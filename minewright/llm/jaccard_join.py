@@ -10,10 +10,11 @@ documents come last in that order; this only makes buckets small, the order itse
 1. Equal sets become one node (the smallest ``doc_id``); copies are counted together before the shuffle.
 2. In each bucket a document meets its neighbour by size and the smallest of fitting size: linear in the bucket. Pairs
    that pass the bound are verified on their whole texts; components follow.
-3. Buckets of four or more documents that still hold several components get an R-tree. First each document tries the
-   ``PARTNERS`` documents of other components with the largest bounds. Then the trees yield every pair that is left between
-   components and passes the bound, so no link between components is lost; a large group of near copies is one component
-   by then and makes no pairs.
+3. Buckets of four or more documents that still hold several components get an R-tree, which yields every pair that is left
+   between components and passes the bound. Of these pairs only a spanning forest leaves the bucket: it tells the clusters
+   of documents that could link. Sets of a cluster's documents then meet whole, each document once or, in a cluster of
+   several shares, once a pair of shares; pairs are decided there, and links that join components leave. So no link between
+   components is lost, and rows grow with the documents, however many pairs of a group pass the bound.
 """
 
 from __future__ import annotations
@@ -35,7 +36,12 @@ SHINGLE = 4
 PERCENT = 85
 GROUPS = 256
 LEAF = 64
-PARTNERS = 2
+# Shingles of a share of a cluster (32 MB); a task holds two shares.
+SHARE_SHINGLES = 1 << 22
+# Ranges of hashes that two sets are compared in, until those left cannot make a link.
+RANGES = 8
+# Documents whose clusters a task remembers from bucket to bucket.
+FOREST_ROWS = 1_000_000
 SLICE_BYTES = 2 << 20
 ORDER_SAMPLE = 4000
 ORDER_SEEN = 4
@@ -239,54 +245,137 @@ def _tree_rows(met: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame
     return ordered.sortWithinPartitions("key")
 
 
-def _tree_pairs(rows: DataFrame, percent: int, best: bool) -> DataFrame:
-    """(a, b, bound) of pairs between components that the trees leave; ``best``: the largest bound of each row only."""
+def _whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """The rows of each group, which lie together in the partition."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        table = pa.Table.from_batches([*held, batch])
+        if not table.num_rows:
+            continue
+        keys = np.stack([table.column(c).to_numpy() for c in names])
+        edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()]
+        for low, high in zip(edges, edges[1:], strict=False):
+            yield table.slice(low, high - low).combine_chunks()
+        held = table.slice(edges[-1]).to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _join_apart(x: np.ndarray, y: np.ndarray, root: np.ndarray, linked=None) -> list[tuple[int, int]]:
+    """Pairs that join different sets of ``root``, which are then one; ``linked`` decides on a pair, all do without it."""
+    joined, at = [], 0
+    apart = root[x] != root[y]
+    x, y = x[apart], y[apart]
+    while at < len(x):
+        a, b = int(x[at]), int(y[at])
+        at += 1
+        if linked is None or linked(a, b):
+            joined.append((a, b))
+            root[root == root[b]] = root[a]
+            apart = root[x[at:]] != root[y[at:]]
+            x, y, at = x[at:][apart], y[at:][apart], 0
+    return joined
+
+
+def _candidate_edges(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a forest that spans what the pairs between components join that the trees leave.
+
+    A bucket gives fewer edges than it has rows, and those that earlier buckets of the task imply are not repeated.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            table = pa.Table.from_batches([*held, batch]).combine_chunks()
-            key = table.column("key").to_numpy()
-            full = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
-            held = table.slice(full).to_batches()
-            yield from found(table.slice(0, full))
-        if held:
-            yield from found(pa.Table.from_batches(held))
-
-    def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not table.num_rows:
-            return
-        key, doc, n, label = (table.column(c).to_numpy() for c in ("key", "doc_id", "n", "component"))
-        points = _points(table.column("point").combine_chunks())
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).tolist()
-        for low, high in zip(starts, [*starts[1:], len(key)], strict=True):
-            own = slice(low, high)
-            top, partner = np.zeros(high - low, np.int64), np.full(high - low, -1)
-            for x, y, bound in tree_pairs(points[own], n[own], label[own], percent):
-                if not best:
-                    yield pairs_of(doc[own][x], doc[own][y], bound)
-                    continue
-                for one, two in ((x, y), (y, x)):
-                    order = np.argsort(bound, kind="stable")
-                    one, two, got = one[order], two[order], bound[order]
-                    more = got > top[one]
-                    top[one[more]], partner[one[more]] = got[more], two[more]
-            at = np.flatnonzero(partner >= 0)
-            if len(at):
-                yield pairs_of(doc[own][at], doc[own][partner[at]], top[at])
-
-    def pairs_of(a: np.ndarray, b: np.ndarray, bound: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b), "bound": pa.array(bound, pa.int64())})
-
-    return rows.mapInArrow(scan, "a long, b long, bound long")
-
-
-def _best_partners(pairs: DataFrame) -> DataFrame:
-    """At most ``PARTNERS`` pairs of each document, those of the largest bounds."""
-    top = pairs.groupBy("a").agg(F.max(F.struct("bound", "b")).alias("top"))
-    rest = pairs.join(top.select("a", F.col("top.b").alias("taken")), "a").filter("b <> taken")
-    second = rest.groupBy("a").agg(F.max(F.struct("bound", "b")).alias("top"))
-    return top.union(second).select("a", F.col("top.b").alias("b"))
+        above: dict[int, int] = {}
+
+        def top(doc: int) -> int:
+            while (up := above.setdefault(doc, doc)) != doc:
+                above[doc] = doc = above.setdefault(up, up)
+            return doc
+
+        for table in _whole_groups(batches, ["key"]):
+            doc, n, label = (table.column(c).to_numpy() for c in ("doc_id", "n", "component"))
+            root, edges = np.arange(len(doc)), []
+            for x, y, _ in tree_pairs(_points(table.column("point").combine_chunks()), n, label, percent):
+                for i, j in _join_apart(x, y, root):
+                    a, b = top(int(doc[i])), top(int(doc[j]))
+                    if a != b:
+                        above[a] = b
+                        edges.append((int(doc[i]), int(doc[j])))
+            if edges:
+                yield pa.RecordBatch.from_pydict({"a": pa.array([e[0] for e in edges]), "b": pa.array([e[1] for e in edges])})
+            if len(above) > FOREST_ROWS:
+                above.clear()
+
+    return rows.mapInArrow(scan, "a long, b long")
+
+
+def _clusters(edges: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, component, cluster, shares) of the documents of ``edges``; a share has about ``SHARE_SHINGLES`` shingles."""
+    touched = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    found = components(touched, _both_ways(edges)).select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"))
+    sized = cut_lineage(found.join(nodes.groupBy("doc_id").agg(F.sum("n").alias("n")), "doc_id"))
+    shares = F.ceil(F.sum("n") / F.lit(SHARE_SHINGLES)).cast("int")
+    large = F.broadcast(sized.groupBy("cluster").agg(shares.alias("shares")).filter("shares > 1"))
+    known = sized.join(labels.withColumnRenamed("id", "doc_id"), "doc_id").join(large, "cluster", "left")
+    return known.select("doc_id", "component", "cluster", F.coalesce("shares", F.lit(1)).alias("shares"))
+
+
+def _cluster_links(clusters: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links that join components, by the whole sets: a spanning forest of all links between components of a cluster.
+
+    Every two shares of a cluster meet in a task, which holds their sets; a cluster of one share is one group.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in B.gathered(batches, "text", SLICE_BYTES):
+            values, bounds = _sets(table, shingle)
+            edges = bounds.tolist()
+            columns = {c: table.column(c).combine_chunks() for c in ("doc_id", "component", "cluster", "shares")}
+            columns["set"] = pa.array([values[p:q].tobytes() for p, q in zip(edges, edges[1:], strict=False)], pa.binary())
+            columns["point"] = pa.array([v.tobytes() for v in _vectors(values, bounds)], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, ["cluster", "low", "high"]):
+            doc, label = (table.column(c).to_numpy() for c in ("doc_id", "component"))
+            held = table.column("set").combine_chunks()
+            ends = np.frombuffer(held.buffers()[1], np.int32)[held.offset : held.offset + len(held) + 1] // 8
+            values = np.frombuffer(held.buffers()[2], np.uint64, int(ends[-1]))
+            sizes = np.diff(ends).astype(np.int64)
+            points = _points(table.column("point").combine_chunks())
+            root = np.unique(label, return_inverse=True)[1]
+            limits = np.arange(1, RANGES, dtype=np.uint64) * np.uint64((1 << 64) // RANGES)
+            cuts = [np.concatenate([[p], p + np.searchsorted(values[p:q], limits), [q]]) for p, q in zip(ends, ends[1:], strict=False)]
+
+            def linked(a: int, b: int) -> bool:
+                need, shared = overlap_needed(sizes[a], sizes[b], percent), 0
+                for i in range(RANGES):
+                    one, two = values[cuts[a][i] : cuts[a][i + 1]], values[cuts[b][i] : cuts[b][i + 1]]
+                    if len(one) and len(two):
+                        shared += int((two[np.minimum(np.searchsorted(two, one), len(two) - 1)] == one).sum())
+                    if shared + min(ends[a + 1] - cuts[a][i + 1], ends[b + 1] - cuts[b][i + 1]) < need:
+                        return False
+                return True
+
+            links = []
+            for x, y, bound in tree_pairs(points, sizes, root.copy(), percent):
+                first = np.argsort(-bound, kind="stable")
+                links += _join_apart(x[first], y[first], root, linked)
+            if links:
+                a, b = doc[[i for i, _ in links]], doc[[j for _, j in links]]
+                yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    kinds = "doc_id long, component long, cluster long, shares int, set binary, point binary"
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(clusters, "doc_id")
+    members = cut_lineage(texts.mapInArrow(sets, kinds).filter(F.length("set") > 0))
+    share = F.pmod(F.xxhash64("doc_id"), F.col("shares")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("shares") - 1), lambda i: (i != F.col("share")) | (F.col("shares") == 1))
+    met = members.withColumn("share", share).withColumn("other", F.explode(others))
+    met = met.withColumn("low", F.least("share", "other")).withColumn("high", F.greatest("share", "other"))
+    place = ["cluster", "low", "high"]
+    dealt = met.select(*place, "doc_id", "component", "set", "point").repartition(B.partitions_for(docs), *place)
+    links = cut_lineage(dealt.sortWithinPartitions(*place).mapInArrow(scan, "a long, b long"))
+    release(members)
+    return links
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -317,13 +406,10 @@ def link_components(
     links = _verified(tried, docs, shingle, percent)
     ids = nodes.select(F.col("doc_id").alias("id")).distinct()
     labels = components(ids, _both_ways(links))
-    for best in (True, False):
-        rows = _tree_rows(met, nodes, labels)
-        more = _tree_pairs(rows, percent, best)
-        more = cut_lineage(_ordered(_best_partners(cut_lineage(more)) if best else more).join(tried, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            continue
-        labels, tried = _merged(labels, _verified(more, docs, shingle, percent)), tried.union(more)
+    edges = cut_lineage(_candidate_edges(_tree_rows(met, nodes, labels), percent))
+    if not edges.isEmpty():
+        labels = _merged(labels, _cluster_links(_clusters(edges, nodes, labels), docs, shingle, percent))
+    release(edges)
     release(met)
     known = nodes.join(labels.withColumnRenamed("id", "doc_id"), "doc_id").select("mark", F.col("component"))
     known = known.groupBy("mark").agg(F.min("component").alias("component"))

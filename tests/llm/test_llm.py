@@ -526,6 +526,30 @@ def test_link_behind_tried_partners_of_larger_bounds_is_found(spark, monkeypatch
     assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 2, 3: 3, 4: 2}
 
 
+@pytest.mark.parametrize("share", [1 << 22, 300])
+def test_rows_grow_with_a_group_below_the_threshold(spark, monkeypatch, share):
+    """Forty alike documents (0.77), two of which link: no row a pair leaves the trees, in one share or in many."""
+    monkeypatch.setattr(jaccard_join, "frequent_shingles", lambda docs, shingle: np.zeros(0, np.uint64))
+    monkeypatch.setattr(jaccard_join, "SHARE_SHINGLES", share)
+    base = " ".join(f"w{i}" for i in range(87))
+    texts = [f"{base} " + " ".join(f"x{d}y{i}" for i in range(13)) for d in range(40)]
+    texts[31] = f"{base} " + " ".join(f"x17y{i}" if i < 9 else f"z{i}" for i in range(13))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").cache()
+    docs.count()
+    made, edges = [], jaccard_join._candidate_edges
+
+    def counted(*args):
+        found = jaccard_join.cut_lineage(edges(*args))
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "_candidate_edges", counted)
+    found = {r.doc_id: r.component_id for r in jaccard_join.link_components(spark, docs, shingle=1, percent=85).collect()}
+    assert found == {d: 17 if d == 31 else d for d in range(40)}
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert made and 0 < made[0] <= 39 * partitions < 40 * 39 / 2
+
+
 def test_pipeline_stages(spark, docs, rows, tmp_path):
     items = [(0, " ".join({r[0]: r[1] for r in rows}[86].split()[500:540]))]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
