@@ -280,7 +280,8 @@ def _join_apart(x: np.ndarray, y: np.ndarray, root: np.ndarray, linked=None) ->
 def _candidate_edges(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b): a forest that spans what the pairs between components join that the trees leave.
 
-    A bucket gives fewer edges than it has rows, and those that earlier buckets of the task imply are not repeated.
+    A task joins what its buckets join and gives each document its set's smallest one: stars, so that few rounds find the
+    clusters, and no more edges than documents in the task.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,19 +292,21 @@ def _candidate_edges(rows: DataFrame, percent: int) -> DataFrame:
                 above[doc] = doc = above.setdefault(up, up)
             return doc
 
+        def stars() -> pa.RecordBatch:
+            edges = [(least, doc) for doc in above if (least := top(doc)) != doc]
+            return pa.RecordBatch.from_pydict({e: pa.array([p[i] for p in edges], pa.int64()) for i, e in enumerate("ab")})
+
         for table in _whole_groups(batches, ["key"]):
             doc, n, label = (table.column(c).to_numpy() for c in ("doc_id", "n", "component"))
-            root, edges = np.arange(len(doc)), []
+            root = np.arange(len(doc))
             for x, y, _ in tree_pairs(_points(table.column("point").combine_chunks()), n, label, percent):
                 for i, j in _join_apart(x, y, root):
                     a, b = top(int(doc[i])), top(int(doc[j]))
-                    if a != b:
-                        above[a] = b
-                        edges.append((int(doc[i]), int(doc[j])))
-            if edges:
-                yield pa.RecordBatch.from_pydict({"a": pa.array([e[0] for e in edges]), "b": pa.array([e[1] for e in edges])})
+                    above[max(a, b)] = min(a, b)
             if len(above) > FOREST_ROWS:
+                yield stars()
                 above.clear()
+        yield stars()
 
     return rows.mapInArrow(scan, "a long, b long")
 
@@ -311,7 +314,7 @@ def _candidate_edges(rows: DataFrame, percent: int) -> DataFrame:
 def _clusters(edges: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, component, cluster, shares) of the documents of ``edges``; a share has about ``SHARE_SHINGLES`` shingles."""
     touched = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    found = components(touched, _both_ways(edges)).select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"))
+    found = components(touched, _both_ways(edges.distinct())).select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"))
     sized = cut_lineage(found.join(nodes.groupBy("doc_id").agg(F.sum("n").alias("n")), "doc_id"))
     shares = F.ceil(F.sum("n") / F.lit(SHARE_SHINGLES)).cast("int")
     large = F.broadcast(sized.groupBy("cluster").agg(shares.alias("shares")).filter("shares > 1"))
