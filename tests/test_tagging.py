@@ -198,3 +198,30 @@ def test_sentences_without_tokens_stay(spark, no_broadcast):
     scores = spark.createDataFrame([("a", [0.0, 1.0]), ("b", [2.0, 0.0])], "word string, scores array<double>")
     paths = tagging.viterbi_decode(tagging.score_tokens(words, scores, ["X", "Y"]), np.zeros((2, 2)), ["X", "Y"])
     assert rows(paths, "sent_id", "tags") == [(0, ["Y", "X"]), (1, []), (2, []), (3, ["X"]), (4, []), (5, ["Y"])]
+
+
+def test_characters_are_encoded_in_place(spark, no_broadcast):
+    words = spark.createDataFrame([(0, 0, "bäb"), (0, 1, None), (1, 0, "a𝄞")], "sent_id int, pos int, word string")
+    chars = spark.createDataFrame([("a", 4), ("b", 5), ("b", 3), ("𝄞", 9), (None, 7)], "char string, id bigint")
+    encoded = corpus.encode_chars(words, chars)
+    assert rows(encoded, "sent_id", "pos", "char_ids") == [(0, 0, [3, 5, 3, 5]), (0, 1, []), (1, 0, [4, 9])]
+    plan = encoded._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+@pytest.mark.parametrize("copied", [True, False])
+def test_packed_sentences_are_those_of_single_rows(spark, no_broadcast, monkeypatch, copied):
+    rng = random.Random(4)
+    texts = [(rng.randint(0, 25), ["".join(rng.choice("abcdü") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 9))]) for _ in range(60)]
+    sentences = spark.createDataFrame([*texts, (None, ["a", "bb"]), (None, ["c"]), (99, None)], "sent_id bigint, words array<string>")
+    letters = spark.createDataFrame([(c, i) for i, c in enumerate("abcü")], "char string, id bigint")
+    found = corpus.encode_chars(corpus.every_word_rows(sentences), letters)
+    for each in (found, found.repartition(3)):
+        packed, plain = (corpus.gather_tokens(each, "char_ids", "char_ids", packed=p) for p in (True, False))
+        opened = corpus.open_sentences(packed, "char_ids", "array<bigint>")
+        assert sorted(map(str, opened.collect())) == sorted(map(str, plain.collect()))
+        if not copied:
+            monkeypatch.setattr(corpus, "BATCH_SIZES_BYTES", -1)
+        padded = [corpus.pad_nested(corpus.batch_ids(s, 4), pad=-1).select("sent_id", "batch", "char_ids", "lengths") for s in (packed, plain)]
+        assert sorted(map(str, padded[0].collect())) == sorted(map(str, padded[1].collect()))
+        assert "windowspecdefinition(batch" not in padded[0]._jdf.queryExecution().optimizedPlan().toString()
