@@ -8,16 +8,28 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from minewright.functions.text import date_rule
+from minewright.plans.lineage import cut_lineage
+from minewright.plans.packed import opened, pack, packed_sentences, unpack
 from minewright.plans.spread import spread_join, unnested
 
 # Fixed value: keeps the score fractions defined.
 EPSILON = 1e-13
 _CLASSES = ("B", "I", "O")
+# Bytes of the scores of the highest-scored words, of which every task gets a copy; the others meet the sentences by word.
+HELD_BYTES = 32 << 20
+# Tokens of a block of sentences, which asks once for a word.
+BLOCK_TOKENS = 1 << 15
+# Tokens decoded together.
+DECODED_TOKENS = 1 << 18
+# Sentences from which on a decoding step goes state by state.
+WIDE_STEP = 48
 
 
 def time_override(sentences: DataFrame) -> DataFrame:
@@ -205,23 +217,134 @@ def transition_matrix(counts: DataFrame, tags: Sequence[str]) -> np.ndarray:
 
 
 def emission_scores(counts: DataFrame, tags: Sequence[str]) -> DataFrame:
-    """``(word, scores)``: add-one smoothed log p(word | tag), one score a tag of the list."""
-    n_words = counts.select("word").distinct().count()
-    totals = {r["tag"]: r["n"] for r in counts.groupBy("tag").agg(F.sum("cnt").alias("n")).collect()}
-    scores = [
-        F.log((F.sum(F.when(F.col("tag") == t, F.col("cnt")).otherwise(0)) + 1.0) / F.lit(totals.get(t, 0) + n_words + 1.0))
-        for t in tags
-    ]
-    return counts.groupBy("word").agg(F.array(*scores).alias("scores"))
-
-
-def score_tokens(rows: DataFrame, emissions: DataFrame, tags: Sequence[str]) -> DataFrame:
-    """Add ``scores`` to token rows ``(sent_id, pos, word)``; unknown words score alike for every tag."""
+    """``(word, scores)``: add-one smoothed log p(word | tag), one score a tag of the list.
+
+    The counts are summed once, into a table of one row a word.
+    """
+    names = [f"_{i}" for i in range(len(tags))]
+    sums = [F.sum(F.when(F.col("tag") == t, F.col("cnt")).otherwise(0)).alias(name) for name, t in zip(names, tags, strict=True)]
+    by_word = cut_lineage(counts.groupBy("word").agg(*sums))
+    n_words, *totals = by_word.agg(F.count(F.lit(1)), *[F.sum(name) for name in names]).first()
+    scores = [F.log((F.col(name) + 1.0) / F.lit((n or 0) + n_words + 1.0)) for name, n in zip(names, totals, strict=True)]
+    return by_word.select("word", F.array(*scores).alias("scores"))
+
+
+def score_tokens(rows: DataFrame, emissions: DataFrame, tags: Sequence[str], by_sentence: bool = False) -> DataFrame:
+    """Add ``scores`` to token rows ``(sent_id, pos, word)``; unknown words score alike for every tag.
+
+    With ``by_sentence`` the result has one row a sentence, ``(sent_id, scores)``, the scores of its tokens one after the
+    other, as ``viterbi_decode`` takes them. For rows that follow each other by sentence: their words travel as compressed
+    pieces, and scores meet them in their task.
+    """
+    if by_sentence:
+        return _sentence_scores(rows, emissions, len(tags))
     spread = [c for c in rows.columns if c != "word"]
     joined = spread_join(rows, emissions, "word", "left", spread_by=spread)
     return joined.withColumn("scores", F.coalesce("scores", F.array_repeat(F.lit(0.0), len(tags))))
 
 
+def _held_words(emissions: DataFrame, most: int) -> Column:
+    """Which words every task holds: those of the highest sum of scores, ``most`` at most."""
+    total = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
+    level = F.greatest(F.least(F.floor(total * 8), F.lit(32_000)), F.lit(-32_000))
+    held, least = 0, None
+    for row in sorted(emissions.filter(level.isNotNull()).groupBy(level.alias("level")).count().collect(), reverse=True):
+        held += row["count"]
+        if held > most:
+            break
+        least = row["level"]
+    return F.coalesce(level >= F.lit(least), F.lit(False)) & F.col("word").isNotNull() if least is not None else F.lit(False)
+
+
+def _sentence_scores(rows: DataFrame, emissions: DataFrame, k: int) -> DataFrame:
+    chosen = _held_words(emissions, HELD_BYTES // (8 * k))
+    near = emissions.filter(chosen).select("word", "scores").toArrow().combine_chunks()
+    matrix = near.column("scores").combine_chunks().flatten().to_numpy().reshape(-1, k)
+    context = rows.sparkSession.sparkContext
+    names, held = context.broadcast(near.column("word").cast(pa.string()).combine_chunks()), context.broadcast(matrix)
+    words = packed_sentences(rows, "word", "words", ranged=False)
+    # Blocks are written, so that their questions and they themselves are of one run.
+    blocks = cut_lineage(words.mapInArrow(_coded(names), "block long, payload binary, far array<string>"))
+    asked = blocks.select("block", F.posexplode("far").alias("place", "word"))
+    answers = asked.join(emissions.filter(~chosen), "word").groupBy("block").agg(F.collect_list(F.struct("place", "scores")).alias("_a"))
+    answers = answers.select("block", F.col("_a.place").alias("places"), F.flatten("_a.scores").alias("found"))
+    kind = rows.schema["sent_id"].dataType
+    whole = blocks.select("block", "payload").join(answers, "block", "left").select("payload", "places", "found")
+    opened_blocks = _block_scores(held, k, to_arrow_type(kind))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, sizes, scores in opened_blocks(batches):
+            edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]) * k, pa.int32())
+            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(edges, pa.array(scores.ravel()))], ["sent_id", "scores"])
+
+    scored = whole.mapInArrow(run, f"sent_id {kind.simpleString()}, scores array<double>")
+    # Decoding can take the scores in the task that found them.
+    scored._blocks = (whole, opened_blocks)
+    return scored
+
+
+def _coded(held_words):
+    """From packed sentences to blocks: their tokens as places in the held words, or below zero in ``far``, the block's others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {word: i for i, word in enumerate(held_words.value.to_pylist())}
+        number = TaskContext.get().partitionId() << 33
+        ids: list[pa.Array] = []
+        found: list[tuple[np.ndarray, pa.Array]] = []
+        size = 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids.append(batch.column("sent_id").slice(i, 1))
+                found.append(opened(batch.column("words")[i].as_py(), pa.string()))
+                size += len(found[-1][0])
+                if size >= BLOCK_TOKENS:
+                    yield block(number, place, ids, found)
+                    number, ids, found, size = number + 1, [], [], 0
+        if ids:
+            yield block(number, place, ids, found)
+
+    def block(number: int, place: dict[str, int], ids: list[pa.Array], found: list[tuple[np.ndarray, pa.Array]]) -> pa.RecordBatch:
+        coded = pa.concat_arrays([words for _, words in found]).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        codes = np.array([place.get(name, -1) for name in names], np.int64)
+        unknown = np.flatnonzero(codes < 0)
+        codes[unknown] = -1 - np.arange(len(unknown))
+        sizes = pa.array([len(pos) for pos, _ in found])
+        steps = np.concatenate([np.diff(pos, prepend=0) for pos, _ in found])
+        payload = pack(pa.concat_arrays(ids), sizes, pa.array(steps), pa.array(codes[coded.indices.to_numpy()] if names else steps))
+        far = pa.array([[names[i] for i in unknown]], pa.list_(pa.string()))
+        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([payload], pa.binary()), far], ["block", "payload", "far"])
+
+    return run
+
+
+def _block_scores(held, k: int, kind: pa.DataType):
+    """From blocks and the scores of their far words to sentences: their ids, numbers of tokens, and scores (tokens x k)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, sizes, steps, codes = unpack(batch.column("payload")[i].as_py(), [kind, *[pa.int64()] * 3])
+                sizes, steps, codes = sizes.to_numpy(), steps.to_numpy(), codes.to_numpy()
+                far = np.zeros((max(-int(codes.min(initial=0)), 0), k))
+                if batch.column("places")[i].is_valid:
+                    answers = batch.column("found")[i].values.to_numpy().reshape(-1, k)
+                    far[batch.column("places")[i].values.to_numpy()] = answers
+                scores = np.empty((len(codes), k))
+                scores[codes >= 0] = held.value[codes[codes >= 0]]
+                scores[codes < 0] = far[-1 - codes[codes < 0]]
+                ends = np.cumsum(sizes)
+                for s in np.unique(np.searchsorted(ends, np.flatnonzero(steps <= 0), "right")):
+                    a, b = ends[s] - sizes[s], ends[s]
+                    if (steps[a + 1 : b] <= 0).any():
+                        # Equal positions, of sentences of one name: in the order of their scores.
+                        pos, own = np.cumsum(steps[a:b]), scores[a:b]
+                        scores[a:b] = own[np.lexsort([*own.T[::-1], pos])]
+                yield ids, sizes, scores
+
+    return run
+
+
 def argmax_tags(scored: DataFrame, tags: Sequence[str]) -> DataFrame:
     """Add ``tag``, the best-scored tag of each token, the first of equals."""
     best = F.array_position("scores", F.array_max("scores")).cast("int")
@@ -231,45 +354,90 @@ def argmax_tags(scored: DataFrame, tags: Sequence[str]) -> DataFrame:
 def viterbi_decode(scored: DataFrame, transitions: np.ndarray, tags: Sequence[str]) -> DataFrame:
     """``(sent_id, tags)``: the best tag path of each sentence from token scores and transition scores.
 
-    A sentence whose only row has a null ``pos`` has no tokens and an empty path.
+    ``scored`` has token rows ``(sent_id, pos, scores)`` or whole sentences ``(sent_id, scores)``. A sentence whose only row
+    has a null ``pos`` has no tokens and an empty path.
     """
-    ordered = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "scores"))))
-    sentences = scored.groupBy("sent_id").agg(ordered.alias("_t")).select(
-        "sent_id", F.flatten(F.col("_t.scores")).alias("scores")
-    )
-    names = np.array(tags, dtype=object)
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    k = len(tags)
+    id_type = scored.schema["sent_id"].dataType.simpleString()
+    if "pos" in scored.columns:
+        ordered = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "scores"))))
+        gathered = scored.groupBy("sent_id").agg(ordered.alias("_t")).select("sent_id", F.flatten(F.col("_t.scores")).alias("scores"))
+        frame, read = gathered, _row_scores(k)
+    else:
+        frame, read = getattr(scored, "_blocks", (scored.select("sent_id", "scores"), _row_scores(k)))
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, parts, size = pa.array(list(tags), pa.string()), [], 0
+        for part in read(batches):
+            parts.append(part)
+            size += len(part[2])
+            if size >= DECODED_TOKENS:
+                yield _named_paths(parts, transitions, names)
+                parts, size = [], 0
+        if parts:
+            yield _named_paths(parts, transitions, names)
+
+    return frame.mapInArrow(decode, f"sent_id {id_type}, tags array<string>")
+
+
+def _row_scores(k: int):
+    """Sentences as ``_block_scores`` gives them, from rows ``(sent_id, scores)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
         for batch in batches:
-            paths = best_paths([np.asarray(s).reshape(-1, len(tags)) for s in batch["scores"]], transitions)
-            yield pd.DataFrame({"sent_id": batch["sent_id"], "tags": [names[path] for path in paths]})
+            lists = batch.column("scores")
+            yield batch.column("sent_id"), lists.value_lengths().fill_null(0).to_numpy() // k, lists.flatten().to_numpy().reshape(-1, k)
 
-    id_type = scored.schema["sent_id"].dataType.simpleString()
-    return sentences.mapInPandas(decode, f"sent_id {id_type}, tags array<string>")
+    return run
+
+
+def _named_paths(parts: list[tuple[pa.Array, np.ndarray, np.ndarray]], transitions: np.ndarray, names: pa.Array) -> pa.RecordBatch:
+    ids, sizes = pa.concat_arrays([part[0] for part in parts]), np.concatenate([part[1] for part in parts])
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    flat = parts[0][2] if len(parts) == 1 else np.concatenate([part[2] for part in parts])
+    path = names.take(pa.array(_flat_paths(flat, sizes, transitions)))
+    return pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(edges, pa.int32()), path)], ["sent_id", "tags"])
 
 
 def best_paths(scores: Sequence[np.ndarray], transitions: np.ndarray) -> list[np.ndarray]:
-    """Highest-scoring state sequence of each sentence; ties go to the lower state.
+    """Highest-scoring state sequence of each sentence; ties go to the lower state."""
+    sizes = np.array([len(own) for own in scores], np.int64)
+    if not sizes.sum():
+        return [np.empty(0, dtype=np.int32)] * len(scores)
+    found = _flat_paths(np.concatenate([own for own in scores if len(own)]), sizes, transitions)
+    return np.split(found, np.cumsum(sizes)[:-1])
+
+
+def _flat_paths(flat: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """``best_paths`` of sentences that lie one after the other, as one array.
 
-    Sentences advance together, longest first, so that a step is one array operation over those still running.
+    Sentences advance together, longest first, so that a step, there and back, is one array operation over those still running.
     """
-    paths: list[np.ndarray] = [np.empty(0, dtype=np.int32)] * len(scores)
-    order = sorted((s for s in range(len(scores)) if len(scores[s])), key=lambda s: -len(scores[s]))
-    if not order:
-        return paths
-    lengths = np.array([len(scores[s]) for s in order])
-    total = np.array([scores[s][0] for s in order])
+    found = np.empty(len(flat), np.int32)
+    if not len(flat):
+        return found
+    order = np.argsort(-sizes, kind="stable")[: np.count_nonzero(sizes)]
+    lengths, starts = sizes[order], (np.cumsum(sizes) - sizes)[order]
+    total = flat[starts]
     came_from: list[np.ndarray] = []
     for i in range(1, lengths[0]):
         running = int(np.searchsorted(-lengths, -i, side="left"))
-        reached = total[:running, :, None] + transitions
-        came_from.append(reached.argmax(axis=1).astype(np.int16))
-        step = np.array([scores[s][i] for s in order[:running]])
-        total[:running] = reached.max(axis=1) + step
-    for rank, s in enumerate(order):
-        path = np.empty(lengths[rank], dtype=np.int32)
-        path[-1] = total[rank].argmax()
-        for i in range(lengths[rank] - 1, 0, -1):
-            path[i - 1] = came_from[i - 1][rank, path[i]]
-        paths[s] = path
-    return paths
+        if running < WIDE_STEP:
+            reached = total[:running, :, None] + transitions
+            before, best = reached.argmax(axis=1).astype(np.int16), reached.max(axis=1)
+        else:
+            best = total[:running, :1] + transitions[0]
+            before = np.zeros(best.shape, np.int16)
+            for state in range(1, len(transitions)):
+                reached = total[:running, state, None] + transitions[state]
+                np.copyto(before, state, where=reached > best)
+                np.maximum(best, reached, out=best)
+        came_from.append(before)
+        total[:running] = best + flat[starts[:running] + i]
+    state = total.argmax(axis=1)
+    found[starts + lengths - 1] = state
+    for i in range(lengths[0] - 1, 0, -1):
+        running = len(came_from[i - 1])
+        state[:running] = came_from[i - 1][np.arange(running), state[:running]]
+        found[starts[:running] + i - 1] = state[:running]
+    return found

@@ -225,3 +225,28 @@ def test_packed_sentences_are_those_of_single_rows(spark, no_broadcast, monkeypa
         padded = [corpus.pad_nested(corpus.batch_ids(s, 4), pad=-1).select("sent_id", "batch", "char_ids", "lengths") for s in (packed, plain)]
         assert sorted(map(str, padded[0].collect())) == sorted(map(str, padded[1].collect()))
         assert "windowspecdefinition(batch" not in padded[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("held", [1 << 20, 80, 0])
+def test_sentences_are_scored_and_decoded_whole(spark, no_broadcast, monkeypatch, held):
+    monkeypatch.setattr(tagging, "HELD_BYTES", held)
+    monkeypatch.setattr(tagging, "BLOCK_TOKENS", 40)
+    rng = random.Random(6)
+    data = [(rng.randint(0, 30), [f"w{min(rng.randint(0, 30), rng.randint(0, 30))}" for _ in range(rng.randint(0, 15))]) for _ in range(70)]
+    data += [(40, []), (41, None), (None, ["w1", "new"]), (None, ["w2"])]
+    sentences = spark.createDataFrame(data, "sent_id bigint, words array<string>")
+    scores = spark.createDataFrame([(f"w{i}", [rng.random() + (i < 9) for _ in range(3)]) for i in range(28)], "word string, scores array<double>")
+    transitions = np.random.default_rng(2).normal(size=(3, 3))
+    rows_of = corpus.every_word_rows(sentences)
+    scored = [tagging.score_tokens(rows_of, scores, ["X", "Y", "Z"], by_sentence=s) for s in (False, True)]
+    paths = [tagging.viterbi_decode(s, transitions, ["X", "Y", "Z"]) for s in (*scored, scored[1].select("sent_id", "scores"))]
+    wanted = sorted(map(str, paths[0].collect()))
+    assert all(sorted(map(str, path.collect())) == wanted for path in paths[1:])
+
+
+def test_wide_steps_decode_like_narrow_ones(monkeypatch):
+    rng = np.random.default_rng(1)
+    scores, transitions = [rng.integers(0, 3, (n, 4)).astype(float) for n in rng.integers(0, 9, 60)], rng.integers(0, 2, (4, 4)).astype(float)
+    wide = tagging.best_paths(scores, transitions)
+    monkeypatch.setattr(tagging, "WIDE_STEP", 1000)
+    assert all((a == b).all() for a, b in zip(wide, tagging.best_paths(scores, transitions), strict=True))
